@@ -33,7 +33,7 @@ def cuts(b: np.ndarray, offsets: np.ndarray) -> list[list[int]]:
     """
     g = _GEAR[b]
     h = np.zeros(len(b) + 1, np.uint32)
-    for k in range(WINDOW):
+    for k in range(WINDOW if len(b) >= WINDOW else 0):
         h[WINDOW:] += g[WINDOW - 1 - k : len(b) - k] << np.uint32(k)
     start = np.append(b & 0xC0 != 0x80, True)
     good = np.flatnonzero(((h >> np.uint32(32 - AVERAGE_BITS)) == 0) & start)

@@ -140,11 +140,13 @@ class Model:
             to = self.moves[state[:, :m] + sign]
             end = to == 0
             if end.any():
-                anew = self.moves[(root[:, :m] + sign)[end]]
-                to[end] = np.where(anew == 0, root[:, :m][end], anew)
-                count[:, :m] += end
+                # A phrase ends where the walk was inside one; a character that no phrase can begin with is one itself.
+                inside, fresh = (state[:, :m] != root[:, :m])[end], root[:, :m][end]
+                anew = self.moves[fresh + np.broadcast_to(sign, end.shape)[end]]
+                to[end] = np.where(anew == 0, fresh, anew)
+                count[:, :m][end] += inside.astype(np.int32) + (anew == 0)
             state[:, :m] = to
-        out[order] = (count + 1).T
+        out[order] = (count + (state != root)).T
         return out
 
     def judge(self, texts: list[str | None]) -> tuple[list[str], list[float]]:

@@ -65,6 +65,19 @@ class _Items:
             del self.counts[w]
             self.order.pop(bisect.bisect_left(self.order, w))
 
+    def put(self, w: int) -> None:
+        if w not in self.counts:
+            bisect.insort(self.order, w)
+            self.counts[w] = 0
+        self.counts[w] += 1
+
+    def partner(self, i: int, room: int) -> int | None:
+        """The longest item that fits beside one item ``i``."""
+        k = bisect.bisect_right(self.order, room)
+        if k and self.order[k - 1] == i and self.counts[i] < 2:
+            k -= 1
+        return self.order[k - 1] if k else None
+
     def at_most(self, w: int) -> int | None:
         k = bisect.bisect_right(self.order, w)
         return self.order[k - 1] if k else None
@@ -94,57 +107,52 @@ class _Items:
 def reduce_instance(counts: dict[int, int], size: int) -> tuple[list[tuple[tuple[int, ...], int]], dict[int, int]]:
     """Sets fixed by dominance, as (lengths, times), and the counts that remain.
 
-    For the largest item j with room r = size - j, and i the largest other item that fits:
+    For an item j, the largest first, with room r = size - j, and i the largest other item that fits:
     nothing fits: {j}. i fills the room: {j, i}, since i can be exchanged for whatever shares j's sequence. No two
     items fit: {j, i}. No three fit, and i is as long as the best pair: {j, i}. No three fit, the pair (i, b) is the
     best partner of i, and no pair with both items longer than b fits: {j, i, b}, since of any pair one goes into i's
     place and the other into b's. Else j remains for best fit.
     """
-    left, fixed, kept = _Items(counts), [], defaultdict(int)
-    while left.order:
-        j = left.order[-1]
-        have, room = left.counts[j], size - j
-        left.take(j, 1)
-        i = left.at_most(room)
-        small = left.smallest(3)
-        chosen: tuple[int, ...] | None = None
-        if i is None:
-            chosen = (j,)
-        elif i == room or sum(small[:2]) > room or len(small) < 2:
-            chosen = (j, i)
-        elif sum(small) > room or len(small) < 3:
-            pair = left.best_pair(room)
-            if i >= sum(pair):
-                chosen = (j, i)
-            else:
-                rest = _Items(left.counts)
-                rest.take(i, 1)
-                b = rest.at_most(room - i)
-                if b is not None:
-                    k = bisect.bisect_right(left.order, b)
-                    longer = left.order[k:]
-                    two = longer[0] + (longer[0] if left.counts[longer[0]] > 1 else longer[1] if len(longer) > 1 else size) if longer else size
-                    if two > room:
-                        chosen = (j, i, b)
-        left.counts[j] = left.counts.get(j, 0) + 1
-        if left.counts[j] == 1:
-            bisect.insort(left.order, j)
-        if chosen is None:
-            kept[j] += have
-            left.take(j, have)
-            continue
-        need = defaultdict(int)
-        for w in chosen:
-            need[w] += 1
-        # The same argument holds while the other lengths are there; conditions on the smallest items and the best
-        # pair only get easier as items go, but the last of a length may change them, so it is looked at again.
-        times = min(left.counts[w] // n for w, n in need.items())
-        if len(chosen) > 1:
-            times = max(1, min(times, *((left.counts[w] - 1) // n for w, n in need.items())))
-        fixed.append((chosen, times))
-        for w, n in need.items():
-            left.take(w, n * times)
-    return fixed, dict(kept)
+    left, fixed = _Items(counts), []
+    for j in sorted(counts, reverse=True):
+        while left.counts.get(j):
+            room = size - j
+            left.take(j, 1)
+            chosen = _dominating(left, j, room)
+            left.put(j)
+            if chosen is None:
+                break  # these stay for best fit, and stay in view as partners of smaller ones
+            need = defaultdict(int)
+            for w in chosen:
+                need[w] += 1
+            # The argument holds again while every length in view is still there: the smallest items only grow and
+            # the best pair only shrinks. The last of a length is looked at anew.
+            times = min(left.counts[w] // n for w, n in need.items())
+            if len(chosen) > 1:
+                times = max(1, min(times, *((left.counts[w] - 1) // n for w, n in need.items())))
+            fixed.append((chosen, times))
+            for w, n in need.items():
+                left.take(w, n * times)
+    return fixed, dict(left.counts)
+
+
+def _dominating(left: _Items, j: int, room: int) -> tuple[int, ...] | None:
+    i = left.at_most(room)
+    small = left.smallest(3)
+    if i is None:
+        return (j,)
+    if i == room or len(small) < 2 or sum(small[:2]) > room:
+        return j, i
+    if len(small) > 2 and sum(small) <= room:
+        return None
+    if i >= sum(left.best_pair(room)):
+        return j, i
+    b = left.partner(i, room - i)
+    if b is not None:
+        longer = left.order[bisect.bisect_right(left.order, b) :]
+        if not longer or longer[0] + (longer[0] if left.counts[longer[0]] > 1 else longer[1] if len(longer) > 1 else room) > room:
+            return j, i, b
+    return None
 
 
 def best_fit(counts: dict[int, int], size: int) -> list[tuple[tuple[int, ...], int]]:
