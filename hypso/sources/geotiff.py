@@ -1,7 +1,7 @@
 """Single-band GeoTIFF elevation rasters, read with NumPy and zlib by the public TIFF 6 and GeoTIFF specifications.
 
 Supported: classic TIFF of either byte order, strips or tiles, 8 to 64-bit integers and 32 or 64-bit floats, no
-compression, Deflate or PackBits, horizontal and floating-point predictors. CRS 3857 and 4326 (and 6668, whose degrees
+compression, Deflate, LZW or PackBits, horizontal and floating-point predictors. CRS 3857 and 4326 (and 6668, whose degrees
 agree with 4326 to well below a pixel); others raise ValueError.
 """
 
@@ -99,6 +99,32 @@ def _packbits(data: bytes) -> bytes:
     return bytes(out)
 
 
+def _lzw(data: bytes) -> bytes:
+    """TIFF's LZW: codes of 9 to 12 bits, the highest bit first, 256 to clear and 257 to end."""
+    table = [bytes([i]) for i in range(256)] + [b"", b""]
+    out, held, have, width, last = [], 0, 0, 9, b""
+    for byte in data:
+        held, have = held << 8 | byte, have + 8
+        while have >= width:
+            have -= width
+            code, held = held >> have, held & (1 << have) - 1
+            if code == 257:
+                return b"".join(out)
+            if code == 256:
+                del table[258:]
+                width, last = 9, b""
+                continue
+            if not last:
+                entry = table[code]
+            else:
+                entry = table[code] if code < len(table) else last + last[:1]
+                table.append(last + entry[:1])
+            out.append(entry)
+            last = entry
+            width = 9 if len(table) < 511 else 10 if len(table) < 1023 else 11 if len(table) < 2047 else 12
+    return b"".join(out)
+
+
 def band(data: bytes, h: Header | None = None) -> np.ndarray:
     """The first band as float64, no data as NaN."""
     h = h or header(data)
@@ -120,6 +146,8 @@ def band(data: bytes, h: Header | None = None) -> np.ndarray:
         compression = t.get(COMPRESSION, (1,))[0]
         if compression in (8, 32946):
             raw = zlib.decompress(raw)
+        elif compression == 5:
+            raw = _lzw(raw)
         elif compression == 32773:
             raw = _packbits(raw)
         elif compression != 1:

@@ -202,3 +202,61 @@ def test_retile(spark, tmp_path):
     stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
     telemetry.retile(stream, lambda tiles, i: seen.append(tiles.count()), 8, str(tmp_path / "check")).awaitTermination()
     assert sum(seen) > 0
+
+
+def lzw_encode(data):
+    """Codes by the TIFF specification, for the decoder's test."""
+    bits, table, w, width = [], {bytes([i]): i for i in range(256)}, b"", 9
+    n = 258
+
+    def put(code):
+        bits.append(format(code, f"0{width}b"))
+
+    put(256)
+    for k in range(len(data)):
+        c = data[k : k + 1]
+        if w + c in table:
+            w += c
+            continue
+        put(table[w])
+        table[w + c] = n
+        n += 1
+        if n == 4095:
+            put(256)
+            table, n, width = {bytes([i]): i for i in range(256)}, 258, 9
+        else:
+            width = 9 if n < 512 else 10 if n < 1024 else 11 if n < 2048 else 12
+        w = c
+    put(table[w])
+    n += 1
+    width = 9 if n < 512 else 10 if n < 1024 else 11 if n < 2048 else 12
+    put(257)
+    raw = "".join(bits)
+    raw += "0" * (-len(raw) % 8)
+    return bytes(int(raw[i : i + 8], 2) for i in range(0, len(raw), 8))
+
+
+def test_lzw():
+    rng = np.random.default_rng(1)
+    for data in (b"a", b"abababababab" * 50, rng.integers(0, 4, 30_000, dtype=np.uint8).tobytes(), rng.integers(0, 256, 20_000, dtype=np.uint8).tobytes()):
+        assert geotiff._lzw(lzw_encode(data)) == data
+
+
+def test_command_line(spark, store, tmp_path, capsys):
+    from hypso import __main__ as cli
+
+    def call(*argv):
+        cli.run(spark, cli.parser().parse_args([str(a) for a in argv]))
+        return capsys.readouterr().out
+
+    call("bounds", f"{store}/fine", "--output", tmp_path / "b.csv")
+    a = tmp_path / "a.mbtiles"
+    tiling_job.write_mbtiles(payloads(spark, [(5, 10, 12, b"x")]), str(a), "a")
+    call("pack", a, tmp_path / "a.pmtiles")
+    assert "mismatch" not in call("compare", a, tmp_path / "a.pmtiles")
+    assert "minzoom" in call("inspect", a) and "addressed" in call("inspect", tmp_path / "a.pmtiles")
+    assert "z15-16" in call("patterns")
+    assert "filled_by_lower" in call("fill", "fine", "coarse", "--root", store, "--tile", "9/453/201", "--size", "16")
+    assert "sha256" in call("digest", tmp_path, "--glob", "*.mbtiles")
+    (tmp_path / "x.log").write_text('{"timestamp": "2025-01-01T00:00:00Z", "wal_bytes": 0}\n{"timestamp": "2025-01-01T00:00:10Z", "wal_bytes": 100}\n')
+    assert "90.0" in call("eta", tmp_path / "x.log", "--target-bytes", "1000")
