@@ -17,13 +17,15 @@ def _marked(docs: DataFrame, told: DataFrame, keep) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can't be told go."""
-    return _marked(docs, langid.identify_documents(docs), F.col("lang_pred") != langid.UNKNOWN_LANG)
+    """Documents whose language can't be told go. Rows pass whole through the operator's kernel, without a shuffle."""
+    told = langid.marked(docs, langid.sample(docs, "doc_id", "text", "lang"), "text", "_lang", "_score")
+    return told.where(F.col("_lang") != langid.UNKNOWN_LANG).drop("_lang", "_score")
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier predicts to be of label 0 go."""
-    return _marked(docs, quality.score_documents(docs, table(spark, sf_dir, "labels")), F.col("predicted") == 1)
+    """Documents that the quality classifier predicts to be of label 0 go; again without a shuffle."""
+    told = quality.marked(docs, quality.learn(docs, table(spark, sf_dir, "labels")), "text", "_score")
+    return told.where(F.col("_score") >= 0.5).drop("_score")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,14 +8,12 @@ wins. Walks of many text segments and all languages go side by side in NumPy, on
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import held_out
+from .shared import annotated, held_out
 
 #: Bounds of the sample that is learned from: languages, documents looked at and characters taken for each language.
 MAX_LANGS, MAX_DOCS, MAX_CHARS = 64, 64, 30_000
@@ -217,27 +215,30 @@ def identify(docs: DataFrame, samples: dict[str, str], id_col: str = "doc_id", t
     goes to the first language in alphabetical order. The score is the winner's share of weight 2**-(cost in bits), of
     at most 32 characters' worth. Whole texts are parsed, in segments; very long ones take more segments.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(samples)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _model(shared.value)
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            langs: list[str] = []
-            scores: list[float] = []
-            start, size = 0, 0
-            for i in range(len(texts) + 1):
-                if i == len(texts) or (size > 2_000_000 and i > start):
-                    a, b = model.judge(texts[start:i])
-                    langs += a
-                    scores += b
-                    start, size = i, 0
-                if i < len(texts):
-                    size += len(texts[i] or "")
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
-
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return marked(rows, samples, "text", "lang_pred", "score").drop("text")
+
+
+def marked(rows: DataFrame, samples: dict[str, str], text_col: str, lang_name: str, score_name: str) -> DataFrame:
+    """The rows whole, with two columns more, as ``identify`` has them."""
+    shared = rows.sparkSession.sparkContext.broadcast(samples)
+
+    def told(column: pa.Array) -> list[pa.Array]:
+        model, texts = _model(shared.value), column.to_pylist()
+        langs: list[str] = []
+        scores: list[float] = []
+        start, size = 0, 0
+        for i in range(len(texts) + 1):
+            if i == len(texts) or (size > 2_000_000 and i > start):
+                a, b = model.judge(texts[start:i])
+                langs += a
+                scores += b
+                start, size = i, 0
+            if i < len(texts):
+                size += len(texts[i] or "")
+        return [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
+
+    return annotated(rows, text_col, [(lang_name, "string"), (score_name, "double")], told)
 
 
 def identify_documents(docs: DataFrame) -> DataFrame:

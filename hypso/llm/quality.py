@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytesvec as V
-from .shared import cut, held_out
+from .shared import annotated, cut, held_out
 
 #: Bounds: labelled documents that are learned from, features, dimensions of the latent space, voting neighbours.
 SAMPLE, WORDS, SHAPES, PAIRS, DIMENSIONS, NEIGHBOURS = 3000, 2048, 1024, 1024, 48, 15
@@ -137,15 +137,19 @@ def vote(model: dict, docs: list[bytes], neighbours: int = NEIGHBOURS) -> np.nda
 def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, score. Texts that are null or have no words get the sample's share of label 1
     (0.5 without a sample). Whole texts count; repeated rows and null ids are scored like others."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by SAMPLE and FEATURES
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return marked(rows, model, "text", "score").drop("text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.clip(vote(shared.value, texts), 0.0, 1.0), pa.float64())], ["doc_id", "score"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, score double")
+def marked(rows: DataFrame, model: dict, text_col: str, score_name: str) -> DataFrame:
+    """The rows whole, with one column more, as ``score`` has it."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)  # bounded by SAMPLE and FEATURES
+
+    def told(column: pa.Array) -> list[pa.Array]:
+        texts = [t or b"" for t in column.cast(pa.binary()).to_pylist()]
+        return [pa.array(np.clip(vote(shared.value, texts), 0.0, 1.0), pa.float64())]
+
+    return annotated(rows, text_col, [(score_name, "double")], told)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -36,6 +40,31 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove shuffle files and checkpoints that nothing refers to any more.
+
+    Its cleaner only learns of them when the driver collects garbage, which an idle driver of a long job rarely does.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def annotated(rows: DataFrame, text_col: str, extra: list[tuple[str, str]], told) -> DataFrame:
+    """``rows`` with further columns (name, type) that ``told(texts)`` gives as Arrow arrays for an Arrow array of texts.
+
+    Rows pass through the Arrow kernel whole, so decisions need no join and no shuffle. Names must not clash with the
+    rows' own.
+    """
+    at = rows.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, *told(batch.column(at))], [*batch.schema.names, *(n for n, _ in extra)])
+
+    schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in rows.schema), *(T.StructField(n, T._parse_datatype_string(t)) for n, t in extra)])
+    return rows.mapInArrow(run, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
