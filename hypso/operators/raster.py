@@ -1,7 +1,7 @@
 """Rasters onto tile grids: bilinear sampling with no-data-aware weights, and image payloads, as Arrow kernels.
 
-A row is a (tile, raster) pair; its grid depends on nothing else, so pairs are spread freely. Pairs are grouped by
-raster inside a task so that each file is read once per task and held only until the next.
+A (tile, raster) pair's grid depends on nothing else, so pairs are spread freely; those of one raster and one block of
+tiles are sampled together, so that the raster is parsed once for all of them.
 """
 
 from __future__ import annotations
@@ -69,9 +69,10 @@ def read_tiles(pairs: DataFrame, size: int = TILE_SIZE, contents: DataFrame | No
         contents = spark.read.format("binaryFile").option("pathGlobFilter", "*.tif").load(folders).select("path", "content")
     others = [f for f in pairs.schema.fields]
     name = F.regexp_replace("path", r"^file:/*", "/")
-    listed = pairs.withColumn("_p", name).groupBy("_p").agg(F.collect_list(F.struct(*pairs.columns)).alias("_pairs"))
-    # A raster overlaps a bounded number of tiles of one run; it travels once, to the task that samples it.
-    both = contents.select(name.alias("_p"), "content").join(listed, "_p").select("content", "_pairs")
+    # A unit of work is a raster and a block of 16 x 16 tiles, so a huge raster is sampled by many tasks.
+    block = [F.call_function("shiftright", F.col(c), F.lit(4)).alias(f"_{c}") for c in ("x", "y")]
+    listed = pairs.groupBy(name.alias("_p"), "z", *block).agg(F.collect_list(F.struct(*pairs.columns)).alias("_pairs"))
+    both = contents.select(name.alias("_p"), "content").join(listed.select("_p", "_pairs"), "_p").select("content", "_pairs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -50,6 +50,23 @@ def merged_tiles(records: DataFrame, low: int, high: int | None = None, bbox: Bo
     return merge.merge_grids(grids.withColumnRenamed("priority", "prio"), ["prio", "pixel_size", "filename"])
 
 
+def flip_sample(tiles: DataFrame, most: int = 32) -> DataFrame:
+    """The first tiles in curve order with both row counts, as a sidecar to check an archive's orientation by."""
+    rows = tiles.select("z", "x", "y", M.flip_y("z", "y").alias("tms_y"), M.tile_id("z", "x", "y").alias("tile_id"))
+    return rows.orderBy("tile_id").limit(most)
+
+
+def group_summary(spark: SparkSession, archives: Sequence[str], path: str) -> None:
+    """Appends a row for each archive of a split run to a CSV: tiles, zooms, bytes of payload, time."""
+    register(spark)
+    out = None
+    for p in archives:
+        rows = spark.read.format("mbtiles").load(p).agg(F.count("*").alias("tiles"), F.min("z").alias("min_zoom"), F.max("z").alias("max_zoom"), F.sum(F.octet_length("tile_data")).alias("bytes"))
+        rows = rows.select(F.lit(os.path.basename(p)).alias("archive"), "*", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("at"))
+        out = rows if out is None else out.unionByName(rows)
+    out.coalesce(1).write.mode("append").csv(path, header=True)
+
+
 def write_mbtiles(tiles: DataFrame, path: str, name: str, extra: dict[str, str] | None = None, encoding: str = "terrarium", overwrite: bool = False, attribution: str = "") -> None:
     """An archive with its metadata. An existing file is refused unless ``overwrite``, which keeps it as ``.bak``."""
     spark = tiles.sparkSession

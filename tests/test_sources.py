@@ -151,6 +151,10 @@ def test_whole_run(spark, store, tmp_path):
     assert os.path.exists(str(tmp_path / "out.pmtiles")) and os.path.exists(str(tmp_path / "out-lineage.pmtiles"))
     a, b = (spark.read.format(f).load(str(tmp_path / f"out.{f}")) for f in ("mbtiles", "pmtiles"))
     assert archive.archive_diff(a, b).where("status <> 'matched'").count() == 0
+    tiling_job.group_summary(spark, [target], str(tmp_path / "summary"))
+    assert spark.read.csv(str(tmp_path / "summary"), header=True).first().min_zoom == "8"
+    sample = tiling_job.flip_sample(a.select("z", "x", "y")).collect()
+    assert 0 < len(sample) <= 32 and all(r.tms_y == 2**r.z - 1 - r.y for r in sample)
     merged = tiling_job.merge_pixelwise(spark, [target, target], "max")
     assert archive.archive_diff(a, merged).where("status <> 'matched'").count() == 0
     assert tiling_job.merge_pixelwise(spark, [target], "priority").count() == a.count()
