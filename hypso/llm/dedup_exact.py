@@ -67,9 +67,12 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Whole rows move once, by id, which no hot text can skew.
     """
+    # One key for the join and for rows that repeat both id and text, so that whole rows are dealt out once.
+    def key(known: Column, sha: Column) -> Column:
+        return F.concat(F.coalesce(known.cast("string"), F.lit("null")), F.lit(":"), sha)
+
     told = exact_dedup(docs, id_col, text_col)
-    stays = told.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
+    stays = told.where("kept").select(key(F.col("doc_id"), F.col("text_sha256")).alias("_own_key"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    keyed = docs.withColumn("_own_sha", F.sha2(ascii_lower(text), 256))
-    joined = keyed.join(stays, keyed[id_col].eqNullSafe(stays["_id"]) & (keyed["_own_sha"] == stays["_sha"]), "left_semi")
-    return joined.dropDuplicates([id_col, "_own_sha"]).drop("_own_sha")
+    keyed = docs.withColumn("_own_key", key(F.col(id_col), F.sha2(ascii_lower(text), 256)))
+    return keyed.join(stays, "_own_key", "left_semi").dropDuplicates(["_own_key"]).drop("_own_key")
