@@ -27,7 +27,8 @@ def frequent(keyed: DataFrame, key: str, tracked: int = 1024, groups: int = 64)
     Sketches are merged in two steps, so that no task reads a sketch from every partition of a large input.
     """
     first = keyed.groupBy((F.spark_partition_id() % groups).alias("_g")).agg(F.expr(f"approx_top_k_accumulate({key}, {tracked})").alias("s"))
-    top = first.agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {tracked}), {tracked // 2})").alias("top"))
+    # A grouped aggregate: a global one would also merge the empty states of tasks without rows, which it can't.
+    top = first.groupBy((F.col("_g") >= 0).alias("_one")).agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {tracked}), {tracked // 2})").alias("top"))
     return top.select(F.explode("top").alias("t")).where("t.count > 1").select(F.col("t.item").alias(key))
 
 

@@ -7,8 +7,9 @@ is pruned once that falls below ``miss``. Survivors are verified on their full s
 
 Candidates are never all pairs of a bucket. First every member meets the bucket's smallest id; verified links are
 contracted to components; only then, in buckets that still hold several components, members outside the bucket's
-largest component meet the members of other components, in blocks of bounded size. Pairs inside one component need no
-test, as no link can change the result, so no link that the bands offer is lost.
+largest component meet the members of other components, in blocks of bounded size. Some rounds verify each member's
+few most similar partners and contract again; a last round takes every pair that is left between components. Pairs
+inside one component need no test, as no link can change the result, so no link that the bands offer is lost.
 """
 
 from __future__ import annotations
@@ -24,12 +25,14 @@ from pyspark.sql import functions as F
 
 from . import bytesvec as V
 from .dedup_exact import settle
-from .shared import cut
+from .shared import cut, release
 
 SHINGLE, PERCENT = 5, 80
 BANDS, ROWS, BATCH = 24, 4, 16
-MISS = 1e-9
+MISS = 1e-6
 BLOCK = 1024
+#: Rounds that verify each member's BEST most similar partners only, before the last round takes all.
+ROUNDS, BEST = 2, 2
 
 _rng = np.random.Generator(np.random.PCG64(1234567))
 _MULTIPLY = _rng.integers(0, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -115,6 +118,7 @@ def banded(signed_rows: DataFrame) -> DataFrame:
                 h = np.full(len(x), band + 1, np.uint64)
                 for r in range(ROWS):
                     h = V.mix(h * _STEP[30] + x[:, band * ROWS + r])
+                h = h << np.uint64(5) | np.uint64(band)  # the lowest bits tell the band
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column(0)], ["bucket", "id"])
 
     return signed_rows.select("id", "signature").mapInArrow(run, "bucket long, id long")
@@ -139,14 +143,14 @@ def fewest(percent: int, miss: float = MISS) -> list[tuple[int, int]]:
 
 
 def similar(x: np.ndarray, y: np.ndarray, steps: list[tuple[int, int]]) -> np.ndarray:
-    """Which pairs of rows survive the sequential comparison."""
+    """Matches of the pairs of rows that survive the sequential comparison, at least 1; 0 for the others."""
     alive, matches, done = np.arange(len(x)), np.zeros(len(x), np.int64), 0
     for n, need in steps:
         matches[alive] += (x[alive, done:n] == y[alive, done:n]).sum(axis=1)
         alive = alive[matches[alive] >= need]
         done = n
-    out = np.zeros(len(x), bool)
-    out[alive] = True
+    out = np.zeros(len(x), np.int64)
+    out[alive] = np.maximum(matches[alive], 1)
     return out
 
 
@@ -161,7 +165,7 @@ def _survivors(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             if len(batch):
                 ok = similar(_matrix(batch.column(2).to_pylist()), _matrix(batch.column(3).to_pylist()), steps)
-                yield batch.select([0, 1]).filter(pa.array(ok))
+                yield batch.select([0, 1]).filter(pa.array(ok > 0))
 
     return both.mapInArrow(run, "a long, b long")
 
@@ -175,12 +179,9 @@ def shingle_set(text: bytes, width: int) -> set:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs whose full shingle sets are similar enough. Only texts that some pair needs move on."""
-    pairs = cut(pairs.distinct())
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    needed = texts.join(ids, "id", "left_semi").dropDuplicates(["id"])
-    left = needed.select(F.col("id").alias("a"), F.col("text").alias("x"))
-    right = needed.select(F.col("id").alias("b"), F.col("text").alias("y"))
+    """The pairs (a, b) whose full shingle sets are similar enough. ``texts``: (id, text), one row for each id."""
+    left = texts.select(F.col("id").alias("a"), F.col("text").alias("x"))
+    right = texts.select(F.col("id").alias("b"), F.col("text").alias("y"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,35 +218,53 @@ def components(links: DataFrame) -> DataFrame:
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         links = large.join(down, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("l")).select("l.u", "l.v")
         links = cut(links.where("u <> v").distinct())
+        del both, least, large, down
+        release(links.sparkSession)
         now = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
             return links.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(links.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
         seen = now
 
 
-def _crossing(members: DataFrame, signs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Surviving pairs of different components in one bucket. ``members``: (bucket, id) of shared buckets."""
+def _crossing(members: DataFrame, signs: DataFrame, found: DataFrame, percent: int, best: int | None) -> DataFrame:
+    """Surviving pairs of different components in one bucket; with ``best``, only each member's most similar ones.
+
+    ``members``: (bucket, id, center) of shared buckets. Pairs with the center have been tested before; a pair that
+    shares several buckets is taken in the first band of them.
+    """
     steps = fewest(percent)
     named = members.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     shares = named.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     mixed = shares.groupBy("bucket").agg(F.count("*").alias("kinds"), F.sum("n").alias("n"), F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("most"))
     # Two ids, or components: the pair with the smallest id has been tested, and with three members others remain.
     mixed = cut(mixed.where("kinds > 1 and n > 2").select("bucket", "main", F.ceil(F.col("n") / BLOCK).cast("int").alias("rights"), F.ceil((F.col("n") - F.col("most")) / BLOCK).cast("int").alias("lefts")))
+    if mixed.isEmpty():
+        return members.sparkSession.createDataFrame([], "a long, b long")
     rows = named.join(mixed, "bucket").join(signs, "id")
     right = rows.withColumn("r", F.pmod(F.xxhash64("id"), F.col("rights")).cast("int")).withColumn("l", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1))).withColumn("side", F.lit(1))
     left = rows.where("component <> main").withColumn("l", F.pmod(F.xxhash64("id", F.lit(1)), F.col("lefts")).cast("int")).withColumn("r", F.explode(F.sequence(F.lit(0), F.col("rights") - 1))).withColumn("side", F.lit(0))
-    columns = ["bucket", "l", "r", "side", "id", "component", "signature"]
+    columns = ["bucket", "l", "r", "side", "id", "component", "signature", "center"]
     every = left.select(columns).unionByName(right.select(columns))
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         x, y = group[group["side"] == 0], group[group["side"] == 1]
+        if not len(x) or not len(y):
+            return pd.DataFrame({"a": [], "b": []}).astype("int64")
+        y, x = (side[side["id"] != side["center"]] for side in (y, x))
         if not len(x) or not len(y):
             return pd.DataFrame({"a": [], "b": []}).astype("int64")
         ids, kinds, signs = y["id"].to_numpy(), y["component"].to_numpy(), _matrix(list(y["signature"]))
+        band = int(x["bucket"].iloc[0]) & 31
         out = []
         for i, kind, s in zip(x["id"], x["component"], _matrix(list(x["signature"])), strict=True):
             other = np.flatnonzero(kinds != kind)
-            ok = other[similar(np.broadcast_to(s, (len(other), len(s))), signs[other], steps)]
+            like = similar(np.broadcast_to(s, (len(other), len(s))), signs[other], steps)
+            there = np.flatnonzero(like)
+            shared = (signs[other[there]] == s).reshape(-1, BANDS, ROWS).all(axis=2)
+            there = there[shared.argmax(axis=1) == band]
+            if best is not None:
+                there = there[np.lexsort((ids[other[there]], -like[there]))[:best]]
+            ok = other[there]
             out.append(np.stack([np.maximum(ids[ok], i), np.minimum(ids[ok], i)], axis=1))
         return pd.DataFrame(np.concatenate(out), columns=["a", "b"]).drop_duplicates()
 
@@ -261,6 +280,7 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
     have no words have empty sets and are linked with nothing. A null id is linked with nothing either; its row has
     null component_id and kept false. Rows that repeat an id count as one document. An empty table gives no rows.
     """
+    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     table = cut(signed(rows, width))
     told = table.where("key is not null and doc_id is not null").select("doc_id", "key")
@@ -271,12 +291,27 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
     shared = cut(bands.groupBy("bucket").agg(F.min("id").alias("center"), F.count("*").alias("n")).where("n > 1"))
     members = cut(bands.join(shared.select("bucket", "center"), "bucket"))
     star = members.where("id <> center").select(F.col("id").alias("a"), F.col("center").alias("b")).distinct()
-    texts = rows.where("doc_id is not null and text is not null").select(F.col("doc_id").alias("id"), "text")
-    links = cut(_verified(_survivors(star, signs, percent), texts, width, percent))
+    # Whole texts move once, by id; only those of documents in shared buckets can be needed for verification.
+    near = members.select(F.col("id").alias("doc_id")).distinct()
+    texts = cut(rows.where("text is not null").join(near, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "text").dropDuplicates(["id"]))
+    release(spark)
+    links = cut(_verified(cut(_survivors(star, signs, percent)), texts, width, percent))
+    del star, bands, shared, near
+    release(spark)
     found = components(links)
-    more = cut(_crossing(members.select("bucket", "id"), signs, found, percent).distinct())
-    if not more.isEmpty():
-        found = components(links.unionByName(_verified(more, texts, width, percent)))
+    release(spark)
+    best = BEST
+    for turn in range(ROUNDS + 1):
+        more = cut(_crossing(members, signs, found, percent, best).distinct())
+        new = cut(_verified(more, texts, width, percent)) if not more.isEmpty() else more
+        if not new.isEmpty():
+            links = cut(links.unionByName(new))
+            found = components(links)
+        release(spark)
+        if best is None or more.isEmpty():
+            break
+        if new.isEmpty() or turn == ROUNDS - 1:
+            best = None
     found = cut(found)
     named = same.select("doc_id", "id").distinct().join(found, "id", "left").select("doc_id", F.coalesce("component", "id").alias("component"))
     # Rows that repeat an id with other words meet in its smallest component.
