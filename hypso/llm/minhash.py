@@ -5,11 +5,12 @@ bucket are candidates. A candidate pair's signatures are compared a batch at a t
 of the similarity (binomial matches, uniform prior) gives the probability that the threshold is reached, and the pair
 is pruned once that falls below ``miss``. Survivors are verified on their full shingle sets.
 
-Candidates are never all pairs of a bucket. First every member meets the bucket's smallest id; verified links are
-contracted to components; only then, in buckets that still hold several components, members outside the bucket's
-largest component meet the members of other components, in blocks of bounded size. Some rounds verify each member's
-few most similar partners and contract again; a last round takes every pair that is left between components. Pairs
-inside one component need no test, as no link can change the result, so no link that the bands offer is lost.
+Candidates are never all pairs of a bucket. First every member meets one smallest id, that of its buckets' smallest
+ids; verified links are contracted to components. Then members meet the smallest ids of their other buckets, where
+those are of other components still. Only then, in buckets that hold several components, members outside the bucket's
+largest component meet the members of other components, in blocks of bounded size: first each member's few most
+similar partners, and after another contraction every pair that is left between components. Pairs inside one component
+need no test, as no link can change the result, so no link that the bands offer is lost.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ BANDS, ROWS, BATCH = 24, 4, 16
 MISS = 1e-6
 BLOCK = 1024
 #: Rounds that verify each member's BEST most similar partners only, before the last round takes all.
-ROUNDS, BEST = 2, 2
+ROUNDS, BEST = 1, 2
 
 _rng = np.random.Generator(np.random.PCG64(1234567))
 _MULTIPLY = _rng.integers(0, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -207,11 +208,14 @@ def components(links: DataFrame) -> DataFrame:
     """(id, component) of all ids in ``links`` (a, b); the component is its smallest id.
 
     Alternating large-star and small-star contraction: every round is a few shuffles of the links, which shrink to
-    one link per id; a round's result is checkpointed, and counts and checksums alone reach the driver.
+    one link per id; a round's result is checkpointed, and two counts alone reach the driver.
     """
     links = cut(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    seen = None
     while True:
+        # Done when every id has one link, and none is linked to an id that has a link itself.
+        many = links.agg(F.count("*").alias("n"), F.countDistinct("u").alias("k")).first()
+        if many["n"] == many["k"] and links.select(F.col("v").alias("u")).join(links.select("u"), "u", "left_semi").isEmpty():
+            return links.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(links.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -220,10 +224,6 @@ def components(links: DataFrame) -> DataFrame:
         links = cut(links.where("u <> v").distinct())
         del both, least, large, down
         release(links.sparkSession)
-        now = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == seen:
-            return links.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(links.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
-        seen = now
 
 
 def _crossing(members: DataFrame, signs: DataFrame, found: DataFrame, percent: int, best: int | None) -> DataFrame:
@@ -290,16 +290,25 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
     bands = banded(signs)
     shared = cut(bands.groupBy("bucket").agg(F.min("id").alias("center"), F.count("*").alias("n")).where("n > 1"))
     members = cut(bands.join(shared.select("bucket", "center"), "bucket"))
-    star = members.where("id <> center").select(F.col("id").alias("a"), F.col("center").alias("b")).distinct()
+    star = cut(members.where("id <> center").select(F.col("id").alias("a"), F.col("center").alias("b")).distinct())
     # Whole texts move once, by id; only those of documents in shared buckets can be needed for verification.
     near = members.select(F.col("id").alias("doc_id")).distinct()
     texts = cut(rows.where("text is not null").join(near, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "text").dropDuplicates(["id"]))
     release(spark)
-    links = cut(_verified(cut(_survivors(star, signs, percent)), texts, width, percent))
-    del star, bands, shared, near
-    release(spark)
+    links = cut(_verified(_survivors(star.groupBy("a").agg(F.min("b").alias("b")), signs, percent), texts, width, percent))
+    del bands, shared, near
     found = components(links)
     release(spark)
+    # The other centers, where they are of another component.
+    named = star.join(found.select(F.col("id").alias("a"), F.col("component").alias("_ca")), "a", "left")
+    named = named.join(found.select(F.col("id").alias("b"), F.col("component").alias("_cb")), "b", "left")
+    apart = cut(named.where(F.coalesce("_ca", "a") != F.coalesce("_cb", "b")).select("a", "b").join(star.groupBy("a").agg(F.min("b").alias("b")), ["a", "b"], "left_anti"))
+    new = cut(_verified(_survivors(apart, signs, percent), texts, width, percent))
+    if not new.isEmpty():
+        links = cut(links.unionByName(new))
+        found = components(links)
+    del star, named, apart, new
+    release(spark)
     best = BEST
     for turn in range(ROUNDS + 1):
         more = cut(_crossing(members, signs, found, percent, best).distinct())
