@@ -8,9 +8,10 @@ is pruned once that falls below ``miss``. Survivors are verified on their full s
 Candidates are never all pairs of a bucket. First every member meets one smallest id, that of its buckets' smallest
 ids; verified links are contracted to components. Then members meet the smallest ids of their other buckets, where
 those are of other components still. Only then, in buckets that hold several components, members outside the bucket's
-largest component meet the members of other components, in blocks of bounded size: first each member's few most
-similar partners, and after another contraction every pair that is left between components. Pairs inside one component
-need no test, as no link can change the result, so no link that the bands offer is lost.
+largest component meet the members of other components, in blocks of bounded size. Blocks carry the hashed shingle
+sets, so these pairs are verified where they meet and never become rows: a block gives a link only where it joins two
+of its components. Pairs inside one component need no test, as no link can change the result, so no link that the
+bands offer is lost; links are confirmed on the shingles themselves.
 """
 
 from __future__ import annotations
@@ -31,9 +32,9 @@ from .shared import cut, release
 SHINGLE, PERCENT = 5, 80
 BANDS, ROWS, BATCH = 24, 4, 16
 MISS = 1e-6
-BLOCK = 1024
-#: Rounds that verify each member's BEST most similar partners only, before the last round takes all.
-ROUNDS, BEST = 1, 2
+#: Hashes (of 8 bytes) in the sets and signatures of one side of a block; 1 MB, or one text.
+BLOCK = 2**17
+_SIGNATURE = BANDS * ROWS // 2
 
 _rng = np.random.Generator(np.random.PCG64(1234567))
 _MULTIPLY = _rng.integers(0, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -226,47 +227,114 @@ def components(links: DataFrame) -> DataFrame:
         release(links.sparkSession)
 
 
-def _crossing(members: DataFrame, signs: DataFrame, found: DataFrame, percent: int, best: int | None) -> DataFrame:
-    """Surviving pairs of different components in one bucket; with ``best``, only each member's most similar ones.
+def _mixed(named: DataFrame) -> DataFrame:
+    """Buckets with several components (more than one pair with the center), their largest, and numbers of blocks.
 
-    ``members``: (bucket, id, center) of shared buckets. Pairs with the center have been tested before; a pair that
-    shares several buckets is taken in the first band of them.
+    ``named``: (bucket, id, component, weight). A side of a block has about BLOCK of weight; long texts make more blocks.
     """
-    steps = fewest(percent)
-    named = members.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    shares = named.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    mixed = shares.groupBy("bucket").agg(F.count("*").alias("kinds"), F.sum("n").alias("n"), F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("most"))
+    shares = named.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum("weight").alias("w"))
+    mixed = shares.groupBy("bucket").agg(F.count("*").alias("kinds"), F.sum("n").alias("n"), F.sum("w").alias("w"), F.max_by(F.struct("component", "w"), F.struct("n", "component")).alias("main"))
     # Two ids, or components: the pair with the smallest id has been tested, and with three members others remain.
-    mixed = cut(mixed.where("kinds > 1 and n > 2").select("bucket", "main", F.ceil(F.col("n") / BLOCK).cast("int").alias("rights"), F.ceil((F.col("n") - F.col("most")) / BLOCK).cast("int").alias("lefts")))
+    blocks = [F.greatest(F.lit(1), F.ceil(w / BLOCK)).cast("int").alias(name) for name, w in (("rights", F.col("w")), ("lefts", F.col("w") - F.col("main.w")))]
+    return cut(mixed.where("kinds > 1 and n > 2").select("bucket", F.col("main.component").alias("main"), *blocks))
+
+
+def _blocks(named: DataFrame, mixed: DataFrame) -> DataFrame:
+    """Rows (bucket, l, r, side, ...): members outside the largest component (side 0) meet all members (side 1) once."""
+    rows = named.join(mixed, "bucket").withColumn("stray", F.col("component") != F.col("main"))
+    right = rows.withColumn("r", F.pmod(F.xxhash64("id"), F.col("rights")).cast("int")).withColumn("l", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1))).withColumn("side", F.lit(1))
+    left = rows.where("stray").withColumn("l", F.pmod(F.xxhash64("id", F.lit(1)), F.col("lefts")).cast("int")).withColumn("r", F.explode(F.sequence(F.lit(0), F.col("rights") - 1))).withColumn("side", F.lit(0))
+    return left.unionByName(right)
+
+
+_NO_PAIRS = pd.DataFrame({"a": [], "b": []}).astype("int64")
+
+
+def _sides(group: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """Both sides of a block, without the bucket's center, whose pairs have been tested before."""
+    group = group[group["id"] != group["center"]]
+    return group[group["side"] == 0], group[group["side"] == 1]
+
+
+def _alike(s: np.ndarray, signs: np.ndarray, band: int, steps: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of ``signs`` that survive the comparison with ``s`` and share no earlier band with it, most matches first."""
+    like = similar(np.broadcast_to(s, signs.shape), signs, steps)
+    there = np.flatnonzero(like)
+    shared = (signs[there] == s).reshape(-1, BANDS, ROWS).all(axis=2)
+    there = there[shared.argmax(axis=1) == band]
+    there = there[np.argsort(-like[there], kind="stable")]
+    return there, like[there]
+
+
+def hashed_sets(texts: DataFrame, width: int) -> DataFrame:
+    """(id, text) to (id, set): the sorted distinct 64-bit hashes of a text's shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, counts, (h, _) in V.words([t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()], 2):
+                x, n = shingles(h, counts, width)
+                at = np.concatenate([[0], np.cumsum(n)]).tolist()
+                sets = [np.unique(x[s:e]).tobytes() for s, e in zip(at[:-1], at[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, len(counts)), pa.array(sets, pa.binary())], ["id", "set"])
+
+    return texts.select("id", "text").mapInArrow(run, "id long, set binary")
+
+
+def linked(x: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of ``sets`` are similar enough to ``x``; all are sorted and without repeats, none is empty."""
+    sizes = np.array([len(y) for y in sets])
+    every = np.concatenate(sets)
+    hit = x[np.minimum(np.searchsorted(x, every), len(x) - 1)] == every
+    same = np.add.reduceat(hit.astype(np.int64), np.cumsum(sizes) - sizes)
+    return 100 * same >= percent * (len(x) + sizes - same)
+
+
+def _joining(members: DataFrame, signs: DataFrame, found: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links that join components: every surviving pair of different components in one bucket is verified in its block.
+
+    Blocks carry the hashed sets, so that pairs never become rows: a block gives one link at most for each component
+    that it joins to another, and members whose components are joined meanwhile need no further test.
+    """
+    steps = fewest(percent)
+    sizes = signs.select("id", (F.col("size") + _SIGNATURE).alias("weight"))
+    named = members.join(found, "id", "left").withColumn("component", F.coalesce("component", "id")).join(sizes, "id")
+    mixed = _mixed(named)
     if mixed.isEmpty():
         return members.sparkSession.createDataFrame([], "a long, b long")
-    rows = named.join(mixed, "bucket").join(signs, "id")
-    right = rows.withColumn("r", F.pmod(F.xxhash64("id"), F.col("rights")).cast("int")).withColumn("l", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1))).withColumn("side", F.lit(1))
-    left = rows.where("component <> main").withColumn("l", F.pmod(F.xxhash64("id", F.lit(1)), F.col("lefts")).cast("int")).withColumn("r", F.explode(F.sequence(F.lit(0), F.col("rights") - 1))).withColumn("side", F.lit(0))
-    columns = ["bucket", "l", "r", "side", "id", "component", "signature", "center"]
-    every = left.select(columns).unionByName(right.select(columns))
+    named = cut(named.join(mixed.select("bucket"), "bucket", "left_semi").drop("weight"))
+    ids = named.select("id").distinct()
+    sets = hashed_sets(texts.join(ids, "id", "left_semi"), width).join(signs.select("id", "signature"), "id")
+    every = _blocks(named, mixed).join(sets, "id").select("bucket", "l", "r", "side", "stray", "id", "component", "signature", "set", "center")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        x, y = group[group["side"] == 0], group[group["side"] == 1]
-        if not len(x) or not len(y):
-            return pd.DataFrame({"a": [], "b": []}).astype("int64")
-        y, x = (side[side["id"] != side["center"]] for side in (y, x))
+        x, y = _sides(group)
         if not len(x) or not len(y):
-            return pd.DataFrame({"a": [], "b": []}).astype("int64")
-        ids, kinds, signs = y["id"].to_numpy(), y["component"].to_numpy(), _matrix(list(y["signature"]))
+            return _NO_PAIRS
+        # Components of this block by number; joined ones get one number.
+        names, kinds = np.unique(np.concatenate([x["component"], y["component"]]), return_inverse=True)
+        label, mine, kinds = np.arange(len(names)), kinds[: len(x)], kinds[len(x) :]
+        ids, stray, theirs = y["id"].to_numpy(), y["stray"].to_numpy(), _matrix(list(y["signature"]))
+        sets = [np.frombuffer(v, np.uint64) for v in y["set"]]
+        sizes = np.array([len(v) for v in sets])
         band = int(x["bucket"].iloc[0]) & 31
         out = []
-        for i, kind, s in zip(x["id"], x["component"], _matrix(list(x["signature"])), strict=True):
-            other = np.flatnonzero(kinds != kind)
-            like = similar(np.broadcast_to(s, (len(other), len(s))), signs[other], steps)
-            there = np.flatnonzero(like)
-            shared = (signs[other[there]] == s).reshape(-1, BANDS, ROWS).all(axis=2)
-            there = there[shared.argmax(axis=1) == band]
-            if best is not None:
-                there = there[np.lexsort((ids[other[there]], -like[there]))[:best]]
-            ok = other[there]
-            out.append(np.stack([np.maximum(ids[ok], i), np.minimum(ids[ok], i)], axis=1))
-        return pd.DataFrame(np.concatenate(out), columns=["a", "b"]).drop_duplicates()
+        for i, kind, s, own in zip(x["id"], mine, _matrix(list(x["signature"])), x["set"], strict=True):
+            own = np.frombuffer(own, np.uint64)
+            if not len(own):
+                continue
+            # Two strays meet on both sides: their pair is taken where the larger id is on the left.
+            fits = 100 * np.minimum(sizes, len(own)) >= percent * np.maximum(sizes, len(own))
+            other = np.flatnonzero((label[kinds] != label[kind]) & fits & ~(stray & (ids > i)))
+            there, _ = _alike(s, theirs[other], band, steps)
+            left = other[there]
+            while len(left):
+                some, left = left[:32], left[32:]
+                for j in some[linked(own, [sets[k] for k in some], percent)].tolist():
+                    if label[kinds[j]] != label[kind]:
+                        label[label == label[kinds[j]]] = label[kind]
+                        out.append((max(i, int(ids[j])), min(i, int(ids[j]))))
+                left = left[label[kinds[left]] != label[kind]]
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
     return every.groupBy("bucket", "l", "r").applyInPandas(run, "a long, b long")
 
@@ -286,7 +354,7 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
     told = table.where("key is not null and doc_id is not null").select("doc_id", "key")
     same = cut(settle(told, "key", "doc_id", largest=False).select("doc_id", "key", F.col("best").alias("id")))
     first = same.where("doc_id = id").select("doc_id", "key").distinct()
-    signs = cut(table.join(first, ["doc_id", "key"]).select(F.col("doc_id").alias("id"), "signature").dropDuplicates(["id"]))
+    signs = cut(table.join(first, ["doc_id", "key"]).select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("size"), "signature").dropDuplicates(["id"]))
     bands = banded(signs)
     shared = cut(bands.groupBy("bucket").agg(F.min("id").alias("center"), F.count("*").alias("n")).where("n > 1"))
     members = cut(bands.join(shared.select("bucket", "center"), "bucket"))
@@ -309,18 +377,11 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
         found = components(links)
     del star, named, apart, new
     release(spark)
-    best = BEST
-    for turn in range(ROUNDS + 1):
-        more = cut(_crossing(members, signs, found, percent, best).distinct())
-        new = cut(_verified(more, texts, width, percent)) if not more.isEmpty() else more
-        if not new.isEmpty():
-            links = cut(links.unionByName(new))
-            found = components(links)
-        release(spark)
-        if best is None or more.isEmpty():
-            break
-        if new.isEmpty() or turn == ROUNDS - 1:
-            best = None
+    more = cut(_joining(members, signs, found, texts, width, percent).distinct())
+    if not more.isEmpty():
+        links = cut(links.unionByName(_verified(more, texts, width, percent)))
+        found = components(links)
+    release(spark)
     found = cut(found)
     named = same.select("doc_id", "id").distinct().join(found, "id", "left").select("doc_id", F.coalesce("component", "id").alias("component"))
     # Rows that repeat an id with other words meet in its smallest component.

@@ -435,11 +435,45 @@ def test_op9_awkward(spark, odd, none):
 
 
 def test_op9_pruning_bounds():
-    for n, need in minhash.fewest(80):
-        below = sum(math.comb(n + 1, m) * 0.8**m * 0.2 ** (n + 1 - m) for m in range(need))
-        assert need == 0 or below < minhash.MISS * (1 + 1e-9) + math.comb(n + 1, need - 1)
-    links = [(i, i + 1) for i in range(50)]
-    assert minhash.BANDS * minhash.ROWS % minhash.BATCH == 0 and links
+    """A pair goes on with the fewest matches that leave the threshold a probability of ``miss`` or more."""
+    for miss in (minhash.MISS, 1e-3):
+        steps = minhash.fewest(80, miss)
+        assert [n for n, _ in steps] == list(range(minhash.BATCH, minhash.BANDS * minhash.ROWS + 1, minhash.BATCH))
+        for n, need in steps:
+            tail = [sum(math.comb(n + 1, m) * 0.8**m * 0.2 ** (n + 1 - m) for m in range(k)) for k in (need, need + 1)]
+            assert tail[0] < miss <= tail[1]
+
+
+@pytest.mark.parametrize("block", [700, minhash.BLOCK])
+def test_op9_blocks_of_a_bucket(spark, monkeypatch, block):
+    """Buckets with many components give the same links however they are cut into blocks."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    rng = np.random.default_rng(7)
+    passage = [f"p{k}" for k in range(45)]
+    texts = {}
+    for family in range(14):  # all share the passage: candidates of each other, at about 0.6, and linked to few
+        base = passage + [f"f{family}w{k}" for k in range(15)]
+        for i in range(3):
+            own = list(base)
+            own[int(rng.integers(45, 60))] = f"x{family}y{i}"
+            texts[family * 3 + i] = " ".join(own)
+    component, _ = brute_components(texts, 4, 80)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(df, 4, 80).collect()}
+    assert got == component and 14 <= len(set(got.values())) < 42
+
+
+def test_op9_hashed_sets(spark):
+    """Sets of hashes link just as the sets of shingles do, at the threshold too."""
+    words = [f"w{k}" for k in range(40)]
+    texts = {0: " ".join(words), 1: " ".join(words[:33]), 2: " ".join(words[:32]), 3: "w0 w1", 4: "W0  w1", 5: " ".join(words * 3)}
+    rows = minhash.hashed_sets(spark.createDataFrame(list(texts.items()), "id long, text string"), 4).collect()
+    got = {r.id: np.frombuffer(r.set, np.uint64) for r in rows}
+    sets = {i: minhash.shingle_set(t.encode(), 4) for i, t in texts.items()}
+    assert {i: len(v) for i, v in got.items()} == {i: len(v) for i, v in sets.items()}
+    for a in texts:
+        told = minhash.linked(got[a], [got[b] for b in texts], 80).tolist()
+        assert told == [100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) for b in texts]
 
 
 def test_components(spark):
