@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from . import bytesvec as V
 from .dedup_exact import settle
-from .shared import cut, release
+from .shared import bounded_batches, cut, release, trim
 
 SHINGLE, PERCENT = 5, 80
 BANDS, ROWS, BATCH = 24, 4, 16
@@ -100,6 +100,7 @@ def signed(docs: DataFrame, width: int) -> DataFrame:
                     key[d] = f"{int(p):016x}{int(q):016x}{int(counts[d]):x}"
                 signature = [next(made).tobytes() if k else None for k in n.tolist()]
                 yield pa.RecordBatch.from_arrays([own, pa.array(sizes, pa.int64()), pa.array(key, pa.string()), pa.array(signature, pa.binary())], ["doc_id", "n_shingles", "key", "signature"])
+        trim()
 
     return docs.mapInArrow(run, "doc_id long, n_shingles long, key string, signature binary")
 
@@ -190,17 +191,19 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
         held: dict[int, set] = {}
         for batch in batches:
             ok = []
-            for a, b, x, y in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+            for row in zip(*(batch.column(k) for k in range(4)), strict=True):  # texts leave Arrow one pair at a time
                 got = []
-                for i, t in ((a, x), (b, y)):
+                for i, t in ((row[0].as_py(), row[2]), (row[1].as_py(), row[3])):
                     if i not in held:
                         if sum(map(len, held.values())) > 500_000 or len(held) > 2000:
                             held.clear()
-                        held[i] = shingle_set(t.encode(), width)
+                        held[i] = shingle_set(t.as_py().encode(), width)
                     got.append(held[i])
                 same = len(got[0] & got[1])
                 ok.append(100 * same >= percent * (len(got[0]) + len(got[1]) - same))
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+        held.clear()
+        trim()
 
     return both.mapInArrow(run, "a long, b long")
 
@@ -276,6 +279,7 @@ def hashed_sets(texts: DataFrame, width: int) -> DataFrame:
                 at = np.concatenate([[0], np.cumsum(n)]).tolist()
                 sets = [np.unique(x[s:e]).tobytes() for s, e in zip(at[:-1], at[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, len(counts)), pa.array(sets, pa.binary())], ["id", "set"])
+        trim()
 
     return texts.select("id", "text").mapInArrow(run, "id long, set binary")
 
@@ -349,6 +353,7 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
     null component_id and kept false. Rows that repeat an id count as one document. An empty table gives no rows.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     table = cut(signed(rows, width))
     told = table.where("key is not null and doc_id is not null").select("doc_id", "key")

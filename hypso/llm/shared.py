@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import os
 import tempfile
@@ -49,17 +51,38 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def bounded_batches(spark: SparkSession, size: int = 4 << 20) -> None:
+    """Arrow batches of about ``size`` bytes at most, so that a kernel's memory doesn't grow with the texts' length.
+
+    Spark's default counts records first, and 10,000 long documents are far too many for a small executor.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name).rstrip("bB")
+    if not (now.isdigit() and 0 < int(now) <= size):
+        spark.conf.set(name, str(size))
+
+
+def trim() -> None:
+    """Gives a worker's free memory back at the end of a kernel: workers live on, idle, beside the next steps' tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def annotated(rows: DataFrame, text_col: str, extra: list[tuple[str, str]], told) -> DataFrame:
     """``rows`` with further columns (name, type) that ``told(texts)`` gives as Arrow arrays for an Arrow array of texts.
 
     Rows pass through the Arrow kernel whole, so decisions need no join and no shuffle. Names must not clash with the
     rows' own.
     """
+    bounded_batches(rows.sparkSession)
     at = rows.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, *told(batch.column(at))], [*batch.schema.names, *(n for n, _ in extra)])
+        trim()
 
     schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in rows.schema), *(T.StructField(n, T._parse_datatype_string(t)) for n, t in extra)])
     return rows.mapInArrow(run, schema)
