@@ -7,7 +7,7 @@ give 128 bits, so equal hashes mean equal bytes for any realistic number of diff
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
@@ -56,6 +56,16 @@ def span_hashes(b: np.ndarray, starts: np.ndarray, ends: np.ndarray, lanes: int
     return out
 
 
+def long_hash(pieces: Iterable[np.ndarray], lanes: int = 2) -> list[np.ndarray]:
+    """The hash that ``span_hashes`` gives one span, of any length, from its bytes in bounded pieces."""
+    totals, done = [0] * lanes, 0
+    for b in pieces:
+        pw, shift = powers(len(b) + 1)[0], pow(_P, done, 2**64)
+        totals = [(t + shift * int((values[b] * pw[: len(b)]).sum())) % 2**64 for t, values in zip(totals, _TABLES, strict=False)]
+        done += len(b)
+    return [mix(np.array([t], np.uint64)) for t in totals]
+
+
 def blocks(docs: list[bytes], limit: int = BLOCK) -> Iterator[tuple[int, int]]:
     """Ranges of documents with at most ``limit`` bytes, or with one document."""
     start, size = 0, 0
@@ -84,6 +94,20 @@ def parts(doc: bytes, limit: int = BLOCK) -> list[bytes]:
     return out
 
 
+def lone_words(doc: bytes) -> Iterator[tuple[bytes, bool]]:
+    """A long text in bounded parts as ``parts`` cuts it; a word too long for one comes alone and is marked True."""
+    for p in parts(doc):
+        if len(p) <= 2 * BLOCK:
+            yield p, False
+            continue
+        # Such a part has white space in its first ``BLOCK`` bytes alone.
+        space = np.flatnonzero(SPACE[np.frombuffer(p, np.uint8)])
+        word = int(space[-1]) + 1 if len(space) else 0
+        if word:
+            yield p[:word], False
+        yield p[word:], True
+
+
 def joined(docs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The documents' bytes with a line feed after each, and where each begins (one more: the end)."""
     offsets = np.zeros(len(docs) + 1, np.int64)
@@ -101,18 +125,28 @@ def word_spans(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def words(docs: list[bytes], lanes: int = 1, fold: bool = True) -> Iterator[tuple[int, np.ndarray, list[np.ndarray]]]:
     """For each run of documents: the first one's index, word counts by document, and the words' hashes.
 
-    ``fold`` lower-cases A to Z. A document that is very long is hashed in parts.
+    ``fold`` lower-cases A to Z. A document that is very long is hashed in parts, and a very long word in pieces.
     """
+
+    def hashed(b: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+        return span_hashes(LOWER[b] if fold else b, starts, ends, lanes)
+
+    def long(p: bytes, lone: bool) -> list[np.ndarray]:
+        if not lone:
+            b, _ = joined([p])
+            return hashed(b, *word_spans(b))
+        b = np.frombuffer(p, np.uint8)
+        return long_hash((LOWER[x] if fold else x for x in (b[k : k + BLOCK] for k in range(0, len(b), BLOCK))), lanes)
+
     for i, j in blocks(docs):
         if j - i == 1 and len(docs[i]) > 2 * BLOCK:
-            got = [h for p in parts(docs[i]) for _, _, h in words([p], lanes, fold)]
+            got = [long(p, lone) for p, lone in lone_words(docs[i])]
             hashes = [np.concatenate([g[k] for g in got]) for k in range(lanes)]
             yield i, np.array([len(hashes[0])]), hashes
             continue
         b, offsets = joined(docs[i:j])
         starts, ends = word_spans(b)
-        hashes = span_hashes(LOWER[b] if fold else b, starts, ends, lanes)
-        yield i, np.diff(np.searchsorted(starts, offsets)), hashes
+        yield i, np.diff(np.searchsorted(starts, offsets)), hashed(b, starts, ends)
 
 
 class Memo:

@@ -30,29 +30,66 @@ _KIND[48:58] = 48
 _KIND[128:] = 97
 
 
-def _shapes(b: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of each word's shape."""
+def _kinds(b: np.ndarray) -> np.ndarray:
+    """Each byte's kind of sign; ``b`` ends with white space."""
     kind = _KIND[b]
     lead = np.flatnonzero(b == 0xC3)
     capital = lead[(b[lead + 1] >= 0x80) & (b[lead + 1] <= 0x9E)]
     kind[capital] = kind[capital + 1] = 65
+    return kind
+
+
+def _shapes(b: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each word's shape."""
+    kind = _kinds(b)
     keep = np.append(True, kind[1:] != kind[:-1])
     keep[starts] = True
     at = np.concatenate([[0], np.cumsum(keep)])
     return V.span_hashes(kind[keep], at[starts], at[ends], 1)[0]
 
 
+def _long_shape(word: bytes) -> np.ndarray:
+    """The shape's hash of a very long word, in pieces cut between characters."""
+
+    def kinds() -> Iterator[np.ndarray]:
+        start, last = 0, -1
+        while start < len(word):
+            end = min(start + V.BLOCK, len(word))
+            while end < len(word) and end > start + V.BLOCK - 3 and word[end] & 0xC0 == 0x80:
+                end -= 1
+            kind = _kinds(np.frombuffer(word[start:end] + b"\n", np.uint8))[:-1]
+            yield kind[np.append(kind[0] != last, kind[1:] != kind[:-1])]
+            start, last = end, int(kind[-1])
+
+    return V.long_hash(kinds(), 1)[0]
+
+
+def _long(doc: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of a very long text, and of their shapes."""
+    found = []
+    for p, lone in V.lone_words(doc):
+        if lone:
+            b = np.frombuffer(p, np.uint8)
+            found.append((V.long_hash((V.LOWER[b[k : k + V.BLOCK]] for k in range(0, len(b), V.BLOCK)), 1)[0], _long_shape(p)))
+        else:
+            b, _ = V.joined([p])
+            starts, ends = V.word_spans(b)
+            found.append((V.span_hashes(V.LOWER[b], starts, ends, 1)[0], _shapes(b, starts, ends)))
+    return np.concatenate([w for w, _ in found]), np.concatenate([s for _, s in found])
+
+
 def features(docs: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
     """For each run of documents: the first one's index and their feature counts, one row each."""
     for i, j in V.blocks(docs):
         if j - i == 1 and len(docs[i]) > 2 * V.BLOCK:
-            yield i, sum(c for p in V.parts(docs[i]) for _, c in features([p]))
-            continue
-        b, offsets = V.joined(docs[i:j])
-        starts, ends = V.word_spans(b)
-        n = np.diff(np.searchsorted(starts, offsets))
-        owner = np.repeat(np.arange(j - i), n)
-        word, shape = V.span_hashes(V.LOWER[b], starts, ends, 1)[0], _shapes(b, starts, ends)
+            word, shape = _long(docs[i])
+            owner = np.zeros(len(word), np.int64)
+        else:
+            b, offsets = V.joined(docs[i:j])
+            starts, ends = V.word_spans(b)
+            n = np.diff(np.searchsorted(starts, offsets))
+            owner = np.repeat(np.arange(j - i), n)
+            word, shape = V.span_hashes(V.LOWER[b], starts, ends, 1)[0], _shapes(b, starts, ends)
         first = np.append(True, owner[1:] != owner[:-1])[: len(owner)]
         again = np.append(False, word[1:] == word[:-1])[: len(word)] & ~first
         before = np.where(first, np.uint64(0), np.roll(shape, 1)) if len(shape) else shape

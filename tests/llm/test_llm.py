@@ -37,6 +37,33 @@ def odd(spark):
     return spark.createDataFrame(rows, ODD)
 
 
+LONE = ["aB3é" * 700_000, "some words É " + "日本語" * 350_000 + " and x1\nmore " + "Ab" * 1_200_000 + " end"]
+
+
+@pytest.mark.parametrize("text", LONE)
+def test_long_words_equal_whole_hashes(text):
+    """Words of more than a block's size, hashed in pieces, are what one pass over the whole text makes of them."""
+    doc = text.encode()
+    b, _ = bytesvec.joined([doc])
+    starts, ends = bytesvec.word_spans(b)
+    whole = bytesvec.span_hashes(bytesvec.LOWER[b], starts, ends)
+    (_, n, got), = bytesvec.words([doc], 2)
+    assert n.tolist() == [len(doc.split())] and all((g == w).all() for g, w in zip(got, whole, strict=True))
+    word, shape = quality._long(doc)
+    assert (word == whole[0]).all() and (shape == quality._shapes(b, starts, ends)).all()
+    (_, counts), = quality.features([doc])
+    assert counts.sum() == 3 * len(doc.split())
+
+
+def test_long_words_in_op9_and_op10(spark):
+    df = spark.createDataFrame([(1, LONE[0]), (2, LONE[0]), (3, LONE[1]), (4, "a short text of some words")], "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(df).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (5, 3), 4: (2, 4)}
+    model = quality.learn(df, spark.createDataFrame([(i, i % 2) for i in range(1, 5)], "doc_id long, quality int"))
+    told = {r.doc_id: r.score for r in quality.score(df, model).collect()}
+    assert len(told) == 4 and told[1] == told[2]
+
+
 @pytest.fixture(scope="module")
 def none(odd):
     return odd.where("false")
