@@ -51,6 +51,15 @@ class PieceCounter:
         begins = np.flatnonzero(start)
         ends = np.append(begins[1:], len(b))
         h, check = V.span_hashes(b, begins, ends)
+        # Slices that the table can hold whatever they are; one is enough but for texts of very many different words.
+        most = int(len(self.memo.rows) * 0.6)
+        counts = [self._looked_up(raw, begins[k : k + most], ends[k : k + most], h[k : k + most], check[k : k + most]) for k in range(0, len(h), most)]
+        sums = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+        edge = np.searchsorted(begins, offsets)
+        return sums[edge[1:]] - sums[edge[:-1]]
+
+    def _looked_up(self, raw: bytes, begins: np.ndarray, ends: np.ndarray, h: np.ndarray, check: np.ndarray) -> np.ndarray:
+        """Tokens of each segment; no more segments than the emptied table has room for."""
         rows = self.memo.find(h, check)
         new = np.flatnonzero(rows < 0)
         if len(new):
@@ -59,8 +68,6 @@ class PieceCounter:
                 self.memo.clear()
                 new = np.arange(len(h))
                 _, first = np.unique(h, return_index=True)
-                if not self.memo.room(len(first)):
-                    raise RuntimeError("the table is too small for one block")
             once = new[first]
             told = [raw[s + 1 : e].decode() for s, e in zip(begins[once].tolist(), ends[once].tolist(), strict=True)]
             # Runs of spaces alone must not be taken for an empty text, which has no pieces.
@@ -70,9 +77,27 @@ class PieceCounter:
                 self.n = np.concatenate([self.n, np.zeros_like(self.n)])
             self.n[at] = counts
             rows[new] = self.memo.find(h[new], check[new])
-        sums = np.concatenate([[0], np.cumsum(self.n[rows].astype(np.int64))])
-        edge = np.searchsorted(begins, offsets)
-        return sums[edge[1:]] - sums[edge[:-1]]
+        return self.n[rows].astype(np.int64)
+
+    def _sliced(self, doc: bytes) -> int:
+        """Tokens of a very long text, from slices cut before runs of spaces: their counts add up exactly."""
+        total, start = 0, 0
+        while start < len(doc):
+            end = len(doc)
+            if end - start > 2 * V.BLOCK:
+                k = doc.find(b" ", start + V.BLOCK)
+                # A cut inside a run of spaces would tear a segment.
+                while k > 0 and doc[k - 1] == 0x20:
+                    while k < len(doc) and doc[k] == 0x20:
+                        k += 1
+                    k = doc.find(b" ", k)
+                end = k if k > 0 else end
+            # The space at the cut is the one that is put before a slice.
+            total += int(self._segments([doc[start:end]])[0])
+            if end < len(doc) and end + 1 == len(doc):
+                total += int(self._segments([b""])[0])  # a single space at the text's end
+            start = end + 1
+        return total
 
     def counts(self, docs: list[bytes]) -> np.ndarray:
         """Tokens of each text, as the library gives them for the whole text."""
@@ -84,6 +109,9 @@ class PieceCounter:
         there = [i for i in sorted(set(range(len(docs))) - set(whole)) if docs[i]]
         for i, j in V.blocks([docs[i] for i in there]):
             own = there[i:j]
+            if j - i == 1 and len(docs[own[0]]) > 2 * V.BLOCK:
+                out[own] = self._sliced(docs[own[0]])
+                continue
             out[own] = self._segments([docs[k] for k in own])
         return out
 

@@ -380,6 +380,29 @@ def test_op7_spaces():
         assert counter.counts([c.encode() for c in own]).tolist() == [len(counter.library.encode(c)) for c in own]
 
 
+def test_op7_more_segments_than_the_table_holds():
+    counter = tokencount.PieceCounter(file_bytes(queries.PIECE_BPE), memo_bits=8)
+    text = " ".join(f"w{i}" for i in range(2000))
+    assert counter.counts([text.encode(), b"a  b ", text[::-1].encode()]).tolist() == [len(counter.library.encode(t)) for t in (text, "a  b ", text[::-1])]
+
+
+@pytest.mark.parametrize("gap", [" ", "   ", "\n"])
+def test_op7_long_text_in_slices(monkeypatch, gap):
+    """Cuts fall before runs of spaces, also where a run lies across the place of a cut or the text ends in one."""
+    monkeypatch.setattr(bytesvec, "BLOCK", 50)
+    counter = tokencount.PieceCounter(file_bytes(queries.PIECE_BPE), memo_bits=12)
+    assert counter.split
+    texts = [gap.join(f"n{i}" for i in range(300)) + "x" * n + end for n in range(60) for end in ("", " ", "  ", " y")]
+    texts += [" " * 400, "a" * 300 + " " * 300 + "b", "one two " + "é" * 400 + " three"]
+    assert counter.counts([t.encode() for t in texts]).tolist() == [len(x) for x in counter.library.encode(texts)]
+
+
+def test_op7_millions_of_different_words():
+    counter = tokencount.PieceCounter(file_bytes(queries.PIECE_BPE))
+    text = " ".join(map(str, range(1_400_000)))
+    assert counter.counts([text.encode()]).tolist() == [len(counter.library.encode(text))]
+
+
 def test_op8(spark, docs, odd, none):
     library = wordbpe.WordBpe(SPEC).whole
 
