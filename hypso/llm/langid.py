@@ -10,13 +10,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import annotated, held_out
 
 #: Bounds of the sample that is learned from: languages, documents looked at and characters taken for each language.
 MAX_LANGS, MAX_DOCS, MAX_CHARS = 64, 64, 30_000
+SHARE = MAX_CHARS // 8  # what one text gives before all others have given as much
 #: A parse starts anew after so many characters, so that long texts are parsed side by side.
 SEGMENT = 2048
 SYMBOLS = 62  # letters told apart, the most frequent in the sample; all other letters share one symbol
@@ -173,28 +174,45 @@ class Model:
 
 
 def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> dict[str, str]:
-    """Whole labelled texts for each language, in the order of a hash of the id, up to the documented bounds.
+    """Labelled texts for each language, in the order of a hash of the id, up to the documented bounds.
 
-    Documents held out take no part. A text longer than the bound of characters is passed over.
+    Documents held out and texts that are null or have no letters take no part and aren't counted. A text gives its
+    first SHARE characters, from its first letter on if it is longer than MAX_CHARS; where room is left then, texts
+    give more in the same order. Each of the MAX_LANGS most frequent languages has one text at least.
     """
     known = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    known = known.where(F.col("lang").isNotNull() & ~held_out("doc_id") & F.col("doc_id").isNotNull())
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
-    share = None
-    for r in counts:
-        here = F.when(F.col("lang") == r["lang"], F.lit(min(1.0, 2.0 * MAX_DOCS / r["count"])))
-        share = here if share is None else share.when(F.col("lang") == r["lang"], F.lit(min(1.0, 2.0 * MAX_DOCS / r["count"])))
-    if share is None:
+    known = known.where(F.col("lang").isNotNull() & ~held_out("doc_id") & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    h = F.xxhash64("doc_id")
+    mark = F.pmod(h, F.lit(1 << 30)) / F.lit(float(1 << 30))
+    counts = known.groupBy("lang").agg(F.count("*").alias("count"), F.min(mark).alias("least")).orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
+    if not counts:
         return {}
-    mark = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    few = known.where((mark < share) & (F.length("text") <= MAX_CHARS)).select("lang", "text", F.xxhash64("doc_id").alias("h"), "doc_id")
-    out: dict[str, list[str]] = {}
-    taken: dict[str, int] = {}
-    for r in few.orderBy("h", "doc_id", "text").limit(4 * MAX_DOCS * len(counts)).collect():
-        if taken.get(r["lang"], 0) + len(r["text"]) <= MAX_CHARS and any(map(str.isalpha, r["text"])):
-            out.setdefault(r["lang"], []).append(r["text"])
-            taken[r["lang"]] = taken.get(r["lang"], 0) + len(r["text"])
-    return {lang: "\n".join(texts) for lang, texts in out.items()}
+    share = F.lit(None).cast("double")
+    for r in counts:
+        # The id with the least mark is in, whatever the hash makes of the others.
+        share = F.when(F.col("lang") == r["lang"], F.lit(max(r["least"], min(1.0, 2.0 * MAX_DOCS / r["count"])))).otherwise(share)
+    bounded = F.when(F.length("text") > MAX_CHARS, F.substring(F.regexp_replace("text", r"^\P{L}++", ""), 1, MAX_CHARS)).otherwise(F.col("text"))
+    few = known.where(mark <= share).select("lang", bounded.alias("text"), h.alias("h"), "doc_id")
+    # A language's first texts, as far as their shares fill its room: what reaches the driver is bounded.
+    order = Window.partitionBy("lang").orderBy("h", "doc_id", "text")
+    few = few.withColumn("r", F.row_number().over(order)).where(F.col("r") <= 4 * MAX_DOCS)
+    before = F.coalesce(F.sum(F.least(F.length("text"), F.lit(SHARE))).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    few = few.withColumn("before", before).where(F.col("before") < MAX_CHARS)
+    texts: dict[str, list[str]] = {}
+    for r in few.orderBy("lang", "r").select("lang", "text").collect():
+        texts.setdefault(r["lang"], []).append(r["text"])
+    return {lang: "\n".join(filled(own)) for lang, own in texts.items()}
+
+
+def filled(texts: list[str]) -> list[str]:
+    """Beginnings of the texts, MAX_CHARS characters in all at most: SHARE of each first, then the rest in their order."""
+    given, room = [0] * len(texts), MAX_CHARS
+    for most in (SHARE, MAX_CHARS):
+        for i, text in enumerate(texts):
+            more = min(len(text), most, given[i] + room) - given[i]
+            given[i] += more
+            room -= more
+    return [t[:n] for t, n in zip(texts, given, strict=True) if n]
 
 
 _made: dict[int, Model] = {}

@@ -114,6 +114,32 @@ def test_op1_held_out_accuracy(spark, docs):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_op1_sample_has_every_language(spark):
+    """Long texts give a share, texts without letters don't count, and one eligible text among many rows is learned."""
+    rows = [(i, "the cat sat on the mat " * 2000, "en") for i in range(12)]
+    rows += [(100 + i, "... " * 10_000 + "der Hund lief in den Wald " * 1500, "de") for i in range(12)]
+    rows += [(i, (None, "", "12 34", "!" * 40_000)[i % 4], "fr") for i in range(1000, 41_000)]
+    rows += [(i, "le chat dort sur la table", "fr") for i in range(50_000, 50_003)]
+    rows += [(60_000, "el perro duerme", "es")] * 500
+    held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1]
+    assert {r[2] for r in held} == {"en", "de", "fr", "es"} and any(r[0] >= 50_000 and r[2] == "fr" for r in held)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.sample(df, "doc_id", "text", "lang")
+    assert set(got) == {"en", "de", "fr", "es"}
+    texts = collections.Counter(len(t) for t in got["en"].split("\n"))
+    assert sum(n * k for n, k in texts.items()) == langid.MAX_CHARS and max(texts) <= langid.MAX_CHARS
+    assert "Hund" in got["de"] and "chat" in got["fr"] and "perro" in got["es"]
+    told = {r.doc_id: r.lang_pred for r in langid.identify(df.where("lang in ('en', 'de') or doc_id >= 50000"), got).collect()}
+    assert all(told[i] == "en" for i in range(12)) and all(told[100 + i] == "de" for i in range(12)) and told[50_001] == "fr" and told[60_000] == "es"
+
+
+def test_op1_shares_fill_the_room():
+    long, short = "x" * langid.MAX_CHARS, "y" * 10
+    assert [len(t) for t in langid.filled([long])] == [langid.MAX_CHARS]
+    assert [len(t) for t in langid.filled([long, short])] == [langid.MAX_CHARS - 10, 10]
+    assert [len(t) for t in langid.filled([long] * 20)] == [langid.SHARE] * 8
+
+
 def test_op1_greedy_parse_is_longest_match():
     model = langid.Model({"a": "abracadabra alakazam", "b": "the rain in spain"})
     text = "abra spain cadabram in"
