@@ -31,7 +31,7 @@ from .shared import bounded_batches, cut, release, trim
 
 SHINGLE, PERCENT = 5, 80
 BANDS, ROWS, BATCH = 24, 4, 16
-MISS = 1e-6
+MISS = 1e-9
 #: Hashes (of 8 bytes) in the sets and signatures of one side of a block; 1 MB, or one text.
 BLOCK = 2**17
 _SIGNATURE = BANDS * ROWS // 2

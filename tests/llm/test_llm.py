@@ -520,6 +520,24 @@ def test_op9_pruning_bounds():
             assert tail[0] < miss <= tail[1]
 
 
+def pruning_loss(similarity, steps):
+    """The probability that a pair whose hashes agree independently is pruned at one of the steps."""
+    alive, done, lost = {0: 1.0}, 0, 0.0
+    for n, need in steps:
+        after = collections.defaultdict(float)
+        for m, p in alive.items():
+            for k in range(n - done + 1):
+                after[m + k] += p * math.comb(n - done, k) * similarity**k * (1 - similarity) ** (n - done - k)
+        lost += sum(p for m, p in after.items() if m < need)
+        alive, done = {m: p for m, p in after.items() if m >= need}, n
+    return lost
+
+
+def test_op9_pruning_loses_less_than_the_bands():
+    bands = (1 - 0.8**minhash.ROWS) ** minhash.BANDS
+    assert pruning_loss(0.8, minhash.fewest(80)) < bands / 100
+
+
 @pytest.mark.parametrize("block", [700, minhash.BLOCK])
 def test_op9_blocks_of_a_bucket(spark, monkeypatch, block):
     """Buckets with many components give the same links however they are cut into blocks."""
