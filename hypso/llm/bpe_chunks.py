@@ -3,7 +3,8 @@
 A rolling hash of the last bytes decides where a text is cut, so equal passages give equal chunks wherever they stand.
 A worker encodes each different chunk once and keeps its ids in a bounded store. A cut may fall inside a word; the ids
 at such a join are repaired: the word across it is re-encoded, and the repair stands only if the ids it replaces agree
-exactly with those of the word's two fragments; else the window grows by a word on both sides, at last to the text.
+exactly with those of the word's two fragments; else the window grows by a word on both sides, at last to the text. A
+window reaches from white space to white space, beyond which no token of this kind of vocabulary can change.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from . import bytesvec as V
 from . import wordbpe
+from .shared import bounded_batches, held, trim
 
 WINDOW, AVERAGE_BITS, LEAST, MOST = 16, 10, 64, 16384
 STORE_BYTES = 48 << 20
@@ -59,7 +61,7 @@ def cuts(b: np.ndarray, offsets: np.ndarray) -> list[list[int]]:
 
 class ChunkEncoder:
     def __init__(self, spec: bytes, store_bytes: int = STORE_BYTES):
-        self.words = wordbpe.of(spec)
+        self.words = wordbpe.WordBpe(spec)
         self.names = [str(i) for i in range(len(self.words.tokens))]
         self.store: dict[bytes, np.ndarray] = {}
         self.bytes, self.most = 0, store_bytes
@@ -119,24 +121,58 @@ class ChunkEncoder:
         for k, own in enumerate(borders):
             ids = [known[raw[s:e]] for s, e in zip(own[:-1], own[1:], strict=True)]
             if k in fixes:
-                ids = self._mend(own, ids, fixes[k])
-            out.append(np.concatenate(ids) if ids is not None and len(ids) else np.zeros(0, np.int32) if ids is not None else self._ids([docs[k]])[0])
+                ids = self._mended(raw, space, own, ids, fixes[k])
+            out.append(np.concatenate(ids) if len(ids) else np.zeros(0, np.int32))
         return out
 
-    def _mend(self, own: list[int], ids: list[np.ndarray], fixes: list) -> list[np.ndarray] | None:
-        """A document's id arrays with its torn words put right; None if a repair doesn't agree with its chunks.
-
-        A window always reaches from white space to white space, beyond which no token of this kind of vocabulary can
-        change; where the agreement fails all the same, the whole text is the window.
-        """
+    def _mended(self, raw: bytes, space: np.ndarray, own: list[int], ids: list[np.ndarray], fixes: list) -> list[np.ndarray]:
+        """A document's id arrays with its windows re-encoded, each grown by a word on both sides until it agrees."""
+        while True:
+            put, wrong = self._put(own, ids, fixes)
+            if not wrong:
+                return put
+            windows: list[list[int]] = []
+            for n, (s, e, *_) in enumerate(fixes):
+                if n in wrong:
+                    s, e = self._wider(space, own, s, e)
+                if windows and s < windows[-1][1]:
+                    windows[-1][1] = max(e, windows[-1][1])
+                else:
+                    windows.append([s, e])
+            fragments = []
+            for s, e in windows:
+                inner = [p for p in own[1:-1] if s < p < e]
+                fragments += [raw[s:e], raw[s : inner[0]], raw[inner[-1] : e]]
+            got = self._ids(fragments)
+            fixes = [(s, e, *got[3 * n : 3 * n + 3]) for n, (s, e) in enumerate(windows)]
+
+    @staticmethod
+    def _wider(space: np.ndarray, own: list[int], s: int, e: int) -> tuple[int, int]:
+        """A window with the words before and after it, inside its document; at last the document itself."""
+        before = space[: np.searchsorted(space, s)]
+        gaps = np.flatnonzero(np.diff(before[::-1]) != -1) if len(before) else ()  # the end of the white space before
+        left = int(before[::-1][gaps[0] + 1]) + 1 if len(gaps) else own[0]
+        after = space[np.searchsorted(space, e) :]
+        gaps = np.flatnonzero(np.diff(after) != 1)
+        right = int(after[gaps[0] + 1]) if len(gaps) else own[-1]
+        return max(left, own[0]), min(right, own[-1])
+
+    @staticmethod
+    def _put(own: list[int], ids: list[np.ndarray], fixes: list) -> tuple[list[np.ndarray], set[int]]:
+        """The id arrays with the windows' ids in place, and the numbers of the windows whose fragments' ids aren't
+        those that the chunks have there. A window that is the whole document agrees whatever it holds."""
         left, right = [0] * len(ids), [len(x) for x in ids]
         put: dict[int, np.ndarray] = {}
-        for s, e, word, head, tail in fixes:
-            first = max(i for i in range(len(ids)) if own[i] <= s) if s > own[0] else 0
+        wrong = set()
+        for n, (s, e, word, head, tail) in enumerate(fixes):
+            first = max(i for i in range(len(ids)) if own[i] <= s)
             last = next(i for i in range(len(ids)) if own[i + 1] >= e)
             a, z = ids[first], ids[last]
-            if not np.array_equal(a[len(a) - len(head) :], head) or not np.array_equal(z[: len(tail)], tail):
-                return None
+            if s == own[0] and e == own[-1]:
+                head, tail = a, z
+            elif not np.array_equal(a[len(a) - len(head) :], head) or not np.array_equal(z[: len(tail)], tail):
+                wrong.add(n)
+                continue
             right[first] = len(a) - len(head)
             left[last] = len(tail)
             for i in range(first + 1, last):
@@ -147,18 +183,11 @@ class ChunkEncoder:
             out.append(x[left[i] : max(left[i], right[i])])
             if i in put:
                 out.append(put[i])
-        return out
-
-
-_made: dict[int, ChunkEncoder] = {}
+        return out, wrong
 
 
 def _encoder(spec: bytes) -> ChunkEncoder:
-    key = hash(spec)
-    if key not in _made:
-        _made.clear()
-        _made[key] = ChunkEncoder(spec)
-    return _made[key]
+    return held(("chunks", hash(spec)), lambda: ChunkEncoder(spec))
 
 
 def encode(docs: DataFrame, spec: bytes, id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> DataFrame:
@@ -166,8 +195,10 @@ def encode(docs: DataFrame, spec: bytes, id_col: str = "doc_id", text_col: str =
 
     A null text counts as empty: no ids, an empty decoded text. Ids are the library's for the whole text, without
     added special tokens, truncation or padding; strings of special tokens inside a text are encoded as the library
-    does by default. Repeated rows and null ids are treated like others; an empty table gives no rows.
+    does by default. Very long texts are encoded in parts cut at white space. Repeated rows and null ids are treated
+    like others; an empty table gives no rows; other columns of the input, whatever their names, play no part.
     """
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(spec)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,6 +217,7 @@ def encode(docs: DataFrame, spec: bytes, id_col: str = "doc_id", text_col: str =
                     sha.append(hashlib.sha256(" ".join(map(encoder.names.__getitem__, told)).encode()).hexdigest())
                     back.append(hashlib.sha256(" ".join(map(encoder.words.tokens.__getitem__, told)).encode()).hexdigest())
                 yield pa.RecordBatch.from_arrays([own, pa.array([len(x) for x in ids], pa.int64()), pa.array(sha, pa.string()), pa.array(back, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        trim()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "doc_id long, ids array<int>, decoded string")

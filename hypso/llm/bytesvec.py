@@ -12,7 +12,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 #: Bytes handled at once: bounds the temporary arrays (about ten times eight bytes for each).
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -66,11 +66,12 @@ def long_hash(pieces: Iterable[np.ndarray], lanes: int = 2) -> list[np.ndarray]:
     return [mix(np.array([t], np.uint64)) for t in totals]
 
 
-def blocks(docs: list[bytes], limit: int = BLOCK) -> Iterator[tuple[int, int]]:
-    """Ranges of documents with at most ``limit`` bytes, or with one document."""
+def blocks(docs: list[bytes], limit: int | None = None, rows: int = 1 << 30) -> Iterator[tuple[int, int]]:
+    """Ranges of at most ``rows`` documents with at most ``limit`` (BLOCK) bytes, or with one document."""
     start, size = 0, 0
+    limit = BLOCK if limit is None else limit
     for i, d in enumerate(docs):
-        if i > start and size + len(d) > limit:
+        if i > start and (size + len(d) > limit or i - start == rows):
             yield start, i
             start, size = i, 0
         size += len(d) + 1
@@ -78,8 +79,9 @@ def blocks(docs: list[bytes], limit: int = BLOCK) -> Iterator[tuple[int, int]]:
         yield start, len(docs)
 
 
-def parts(doc: bytes, limit: int = BLOCK) -> list[bytes]:
-    """A long text cut at ASCII white space into parts of about ``limit`` bytes; a word is never cut."""
+def parts(doc: bytes, limit: int | None = None) -> list[bytes]:
+    """A long text cut at ASCII white space into parts of about ``limit`` (BLOCK) bytes; a word is never cut."""
+    limit = BLOCK if limit is None else limit
     if len(doc) <= 2 * limit:
         return [doc]
     out, start = [], 0

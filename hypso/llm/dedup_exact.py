@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import cut
+from .shared import cut, fresh
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -41,7 +41,7 @@ def settle(rows: DataFrame, key: str, order: str, largest: bool = True, tracked:
     best = F.max if largest else F.min
     hot = frequent(rows, key, tracked)
     verified = rows.join(F.broadcast(hot), key, "left_semi").groupBy(key).agg(best(order).alias("best"), F.count("*").alias("n")).where("n > 1")
-    verified = cut(verified)  # at most tracked // 2 rows, a proven bound
+    verified = cut(verified, tracked // 2)  # at most as many rows, a proven bound
     near = rows.join(F.broadcast(verified), key)
     cold = rows.join(F.broadcast(verified.select(key)), key, "left_anti")
     by = Window.partitionBy(key)
@@ -66,14 +66,16 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents themselves, one of each group of equal texts, with their own columns and no others.
 
-    Whole rows move once, by id, which no hot text can skew.
+    Whole rows move once, by id, which no hot text can skew. Null texts count as empty, null ids lose against others,
+    of rows that repeat both id and text one stays, and an empty table stays empty, as ``exact_dedup`` has it.
     """
     # One key for the join and for rows that repeat both id and text, so that whole rows are dealt out once.
     def key(known: Column, sha: Column) -> Column:
         return F.concat(F.coalesce(known.cast("string"), F.lit("null")), F.lit(":"), sha)
 
     told = exact_dedup(docs, id_col, text_col)
-    stays = told.where("kept").select(key(F.col("doc_id"), F.col("text_sha256")).alias("_own_key"))
+    own = fresh(docs, "_own_key")
+    stays = told.where("kept").select(key(F.col("doc_id"), F.col("text_sha256")).alias(own))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    keyed = docs.withColumn("_own_key", key(F.col(id_col), F.sha2(ascii_lower(text), 256)))
-    return keyed.join(stays, "_own_key", "left_semi").dropDuplicates(["_own_key"]).drop("_own_key")
+    keyed = docs.withColumn(own, key(F.col(id_col), F.sha2(ascii_lower(text), 256)))
+    return keyed.join(stays, own, "left_semi").dropDuplicates([own]).drop(own)

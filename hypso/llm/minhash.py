@@ -1,6 +1,6 @@
 """Near-duplicate detection by MinHash with sequential Bayesian verification.
 
-Texts with the same words are collapsed first. Signatures of the others are banded; documents that share a band's
+Texts with the same words (by the SHA-256 of their word sequence) are collapsed first. Signatures of the others are banded; documents that share a band's
 bucket are candidates. A candidate pair's signatures are compared a batch at a time: after each batch, the posterior
 of the similarity (binomial matches, uniform prior) gives the probability that the threshold is reached, and the pair
 is pruned once that falls below ``miss``. Survivors are verified on their full shingle sets.
@@ -16,6 +16,7 @@ bands offer is lost; links are confirmed on the shingles themselves.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from . import bytesvec as V
 from .dedup_exact import settle
-from .shared import bounded_batches, cut, release, trim
+from .shared import bounded_batches, cut, files, release, trim
 
 SHINGLE, PERCENT = 5, 80
 BANDS, ROWS, BATCH = 24, 4, 16
@@ -35,6 +36,8 @@ MISS = 1e-9
 #: Hashes (of 8 bytes) in the sets and signatures of one side of a block; 1 MB, or one text.
 BLOCK = 2**17
 _SIGNATURE = BANDS * ROWS // 2
+#: Shingles of the texts whose sets a verifying task keeps for its next pairs.
+HELD = 200_000
 
 _rng = np.random.Generator(np.random.PCG64(1234567))
 _MULTIPLY = _rng.integers(0, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -80,24 +83,30 @@ def signatures(x: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
+def words_digest(text: bytes) -> str:
+    """SHA-256 of the words, lower case and one space apart; long texts are taken in parts."""
+    out, first = hashlib.sha256(), True
+    for part in V.parts(text):
+        w = b" ".join(part.lower().split())
+        if w:
+            out.update(w if first else b" " + w)
+            first = False
+    return out.hexdigest()
+
+
 def signed(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, key (128-bit digest of the words; null without any) and signature."""
+    """doc_id, n_shingles, key (digest of the words; null without any) and signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            for i, counts, (h, h2) in V.words(texts, 2):
+            for i, counts, (h,) in V.words(texts):
                 own = batch.column(0).slice(i, len(counts))
                 x, n = shingles(h, counts, width)
                 at = np.concatenate([[0], np.cumsum(n)]).tolist()
                 sizes = [len(np.unique(x[s:e])) for s, e in zip(at[:-1], at[1:], strict=True)]
                 made = iter(signatures(x, n) if n.any() else ())
-                position = np.arange(len(h), dtype=np.uint64) - np.repeat((np.cumsum(counts) - counts).astype(np.uint64), counts)
-                there = np.flatnonzero(counts)
-                a, b = (np.add.reduceat(V.mix(y + V.mix(position * _STEP[k])), (np.cumsum(counts) - counts)[there]) if len(there) else [] for k, y in ((50, h), (51, h2)))
-                key: list[str | None] = [None] * len(counts)
-                for d, p, q in zip(there.tolist(), a, b, strict=True):
-                    key[d] = f"{int(p):016x}{int(q):016x}{int(counts[d]):x}"
+                key = [words_digest(texts[i + d]) if c else None for d, c in enumerate(counts.tolist())]
                 signature = [next(made).tobytes() if k else None for k in n.tolist()]
                 yield pa.RecordBatch.from_arrays([own, pa.array(sizes, pa.int64()), pa.array(key, pa.string()), pa.array(signature, pa.binary())], ["doc_id", "n_shingles", "key", "signature"])
         trim()
@@ -182,23 +191,28 @@ def shingle_set(text: bytes, width: int) -> set:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough. ``texts``: (id, text), one row for each id."""
+    """The pairs (a, b) whose full shingle sets are similar enough. ``texts``: (id, text), a row for each text of an id."""
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("x"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("y"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, set] = {}
+        held: dict[tuple[int, int], set] = {}
+        size = 0
         for batch in batches:
             ok = []
             for row in zip(*(batch.column(k) for k in range(4)), strict=True):  # texts leave Arrow one pair at a time
                 got = []
                 for i, t in ((row[0].as_py(), row[2]), (row[1].as_py(), row[3])):
-                    if i not in held:
-                        if sum(map(len, held.values())) > 500_000 or len(held) > 2000:
+                    text = t.as_py().encode()
+                    name = (i, hash(text))
+                    if name not in held:
+                        if size > HELD:
                             held.clear()
-                        held[i] = shingle_set(t.as_py().encode(), width)
-                    got.append(held[i])
+                            size = 0
+                        held[name] = shingle_set(text, width)
+                        size += len(held[name])
+                    got.append(held[name])
                 same = len(got[0] & got[1])
                 ok.append(100 * same >= percent * (len(got[0]) + len(got[1]) - same))
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
@@ -208,13 +222,14 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     return both.mapInArrow(run, "a long, b long")
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, rows: int | None = None) -> DataFrame:
     """(id, component) of all ids in ``links`` (a, b); the component is its smallest id.
 
     Alternating large-star and small-star contraction: every round is a few shuffles of the links, which shrink to
-    one link per id; a round's result is checkpointed, and two counts alone reach the driver.
+    one link per id; a round's result is checkpointed, and two counts alone reach the driver. ``rows``: about how many
+    links there are, if known.
     """
-    links = cut(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    links = cut(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), rows)
     while True:
         # Done when every id has one link, and none is linked to an id that has a link itself.
         many = links.agg(F.count("*").alias("n"), F.countDistinct("u").alias("k")).first()
@@ -225,12 +240,12 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         links = large.join(down, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("l")).select("l.u", "l.v")
-        links = cut(links.where("u <> v").distinct())
+        links = cut(links.where("u <> v").distinct(), 2 * many["n"])
         del both, least, large, down
         release(links.sparkSession)
 
 
-def _mixed(named: DataFrame) -> DataFrame:
+def _mixed(named: DataFrame, rows: int) -> DataFrame:
     """Buckets with several components (more than one pair with the center), their largest, and numbers of blocks.
 
     ``named``: (bucket, id, component, weight). A side of a block has about BLOCK of weight; long texts make more blocks.
@@ -239,7 +254,7 @@ def _mixed(named: DataFrame) -> DataFrame:
     mixed = shares.groupBy("bucket").agg(F.count("*").alias("kinds"), F.sum("n").alias("n"), F.sum("w").alias("w"), F.max_by(F.struct("component", "w"), F.struct("n", "component")).alias("main"))
     # Two ids, or components: the pair with the smallest id has been tested, and with three members others remain.
     blocks = [F.greatest(F.lit(1), F.ceil(w / BLOCK)).cast("int").alias(name) for name, w in (("rights", F.col("w")), ("lefts", F.col("w") - F.col("main.w")))]
-    return cut(mixed.where("kinds > 1 and n > 2").select("bucket", F.col("main.component").alias("main"), *blocks))
+    return cut(mixed.where("kinds > 1 and n > 2").select("bucket", F.col("main.component").alias("main"), *blocks), rows)
 
 
 def _blocks(named: DataFrame, mixed: DataFrame) -> DataFrame:
@@ -274,7 +289,7 @@ def hashed_sets(texts: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, counts, (h, _) in V.words([t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()], 2):
+            for i, counts, (h,) in V.words([t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]):
                 x, n = shingles(h, counts, width)
                 at = np.concatenate([[0], np.cumsum(n)]).tolist()
                 sets = [np.unique(x[s:e]).tobytes() for s, e in zip(at[:-1], at[1:], strict=True)]
@@ -293,7 +308,7 @@ def linked(x: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
     return 100 * same >= percent * (len(x) + sizes - same)
 
 
-def _joining(members: DataFrame, signs: DataFrame, found: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+def _joining(members: DataFrame, signs: DataFrame, found: DataFrame, texts: DataFrame, width: int, percent: int, rows: int) -> DataFrame:
     """Links that join components: every surviving pair of different components in one bucket is verified in its block.
 
     Blocks carry the hashed sets, so that pairs never become rows: a block gives one link at most for each component
@@ -302,10 +317,10 @@ def _joining(members: DataFrame, signs: DataFrame, found: DataFrame, texts: Data
     steps = fewest(percent)
     sizes = signs.select("id", (F.col("size") + _SIGNATURE).alias("weight"))
     named = members.join(found, "id", "left").withColumn("component", F.coalesce("component", "id")).join(sizes, "id")
-    mixed = _mixed(named)
+    mixed = _mixed(named, rows)
     if mixed.isEmpty():
         return members.sparkSession.createDataFrame([], "a long, b long")
-    named = cut(named.join(mixed.select("bucket"), "bucket", "left_semi").drop("weight"))
+    named = cut(named.join(mixed.select("bucket"), "bucket", "left_semi").drop("weight"), BANDS * rows)
     ids = named.select("id").distinct()
     sets = hashed_sets(texts.join(ids, "id", "left_semi"), width).join(signs.select("id", "signature"), "id")
     every = _blocks(named, mixed).join(sets, "id").select("bucket", "l", "r", "side", "stray", "id", "component", "signature", "set", "center")
@@ -350,46 +365,56 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
     ``width`` words, or its whole sequence if it has fewer. Documents with 100 * intersection >= percent * union are
     linked; component_id is the smallest id reachable, kept is doc_id = component_id. Texts that are null, empty or
     have no words have empty sets and are linked with nothing. A null id is linked with nothing either; its row has
-    null component_id and kept false. Rows that repeat an id count as one document. An empty table gives no rows.
+    null component_id and kept false. Rows that repeat an id are one document, which is linked with whatever any of
+    its texts is. Very long texts count whole. An empty table gives no rows; other columns of the input play no part.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     table = cut(signed(rows, width))
     told = table.where("key is not null and doc_id is not null").select("doc_id", "key")
-    same = cut(settle(told, "key", "doc_id", largest=False).select("doc_id", "key", F.col("best").alias("id")))
+    n = told.count()
+    same = cut(settle(told, "key", "doc_id", largest=False).select("doc_id", "key", F.col("best").alias("id")), n)
     first = same.where("doc_id = id").select("doc_id", "key").distinct()
-    signs = cut(table.join(first, ["doc_id", "key"]).select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("size"), "signature").dropDuplicates(["id"]))
-    bands = banded(signs)
-    shared = cut(bands.groupBy("bucket").agg(F.min("id").alias("center"), F.count("*").alias("n")).where("n > 1"))
-    members = cut(bands.join(shared.select("bucket", "center"), "bucket"))
-    star = cut(members.where("id <> center").select(F.col("id").alias("a"), F.col("center").alias("b")).distinct())
+    signs = cut(table.join(first, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"]).select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("size"), "signature"), n)
+    same = same.select("doc_id", "id").distinct()
+    # Ids of several texts link what their texts are copies of.
+    several = same.groupBy("doc_id").agg(F.min("id").alias("b"), F.max("id").alias("x")).where("b <> x").select("doc_id", "b")
+    copies = same.join(several, "doc_id").select(F.col("id").alias("a"), "b").where("a <> b").distinct()
+    bands = banded(signs).distinct()
+    shared = bands.groupBy("bucket").agg(F.min("id").alias("center"), F.count("*").alias("n")).where("n > 1")
+    members = cut(bands.join(shared.select("bucket", "center"), "bucket"), BANDS * n)
+    star = cut(members.where("id <> center").select(F.col("id").alias("a"), F.col("center").alias("b")).distinct(), n)
     # Whole texts move once, by id; only those of documents in shared buckets can be needed for verification.
     near = members.select(F.col("id").alias("doc_id")).distinct()
-    texts = cut(rows.where("text is not null").join(near, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "text").dropDuplicates(["id"]))
+    texts = rows.where("text is not null").join(near, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "text", F.xxhash64("text").alias("h"))
+    texts = cut(texts.dropDuplicates(["id", "h"]).drop("h"), n, 2_000)
     release(spark)
-    links = cut(_verified(_survivors(star.groupBy("a").agg(F.min("b").alias("b")), signs, percent), texts, width, percent))
-    del bands, shared, near
-    found = components(links)
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        # Dealt anew, as links are few where verification has many tasks.
+        return _verified(_survivors(pairs, signs, percent), texts, width, percent).repartition(files(n))
+
+    links = cut(confirmed(star.groupBy("a").agg(F.min("b").alias("b"))).unionByName(copies), n)
+    del bands, shared, near, several, copies
+    found = components(links, n)
     release(spark)
     # The other centers, where they are of another component.
     named = star.join(found.select(F.col("id").alias("a"), F.col("component").alias("_ca")), "a", "left")
     named = named.join(found.select(F.col("id").alias("b"), F.col("component").alias("_cb")), "b", "left")
-    apart = cut(named.where(F.coalesce("_ca", "a") != F.coalesce("_cb", "b")).select("a", "b").join(star.groupBy("a").agg(F.min("b").alias("b")), ["a", "b"], "left_anti"))
-    new = cut(_verified(_survivors(apart, signs, percent), texts, width, percent))
+    apart = named.where(F.coalesce("_ca", "a") != F.coalesce("_cb", "b")).select("a", "b").join(star.groupBy("a").agg(F.min("b").alias("b")), ["a", "b"], "left_anti")
+    new = cut(confirmed(apart))
     if not new.isEmpty():
-        links = cut(links.unionByName(new))
-        found = components(links)
+        links = links.unionByName(new)
+        found = components(links, n)
     del star, named, apart, new
     release(spark)
-    more = cut(_joining(members, signs, found, texts, width, percent).distinct())
+    more = cut(_joining(members, signs, found, texts, width, percent, n).distinct(), n)
     if not more.isEmpty():
-        links = cut(links.unionByName(_verified(more, texts, width, percent)))
-        found = components(links)
+        found = components(links.unionByName(cut(_verified(more, texts, width, percent).repartition(files(n)))), n)
     release(spark)
-    found = cut(found)
-    named = same.select("doc_id", "id").distinct().join(found, "id", "left").select("doc_id", F.coalesce("component", "id").alias("component"))
-    # Rows that repeat an id with other words meet in its smallest component.
+    named = same.join(found, "id", "left").select("doc_id", F.coalesce("component", "id").alias("component"))
+    # An id with several texts has one component, which all of them share.
     named = named.groupBy("doc_id").agg(F.min("component").alias("component"))
     out = table.select("doc_id", "n_shingles").join(named, "doc_id", "left")
     component = F.coalesce("component", "doc_id")

@@ -20,15 +20,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import wordbpe
-from .shared import cut
+from .shared import bounded_batches, cut, small, trim
 
 SIZE = 2048
 END = 0
+#: Pieces of one length that one task ranks, about.
+EACH = 500_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def tokenized(docs: DataFrame, spec: bytes, size: int = SIZE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pieces of all documents: each document's ids, then END; only longer ones are cut, every ``size`` ids."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(spec)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -48,6 +51,7 @@ def tokenized(docs: DataFrame, spec: bytes, size: int = SIZE, id_col: str = "doc
                         rows.append((ids[i + k], p, s, len(cutout), zlib.crc32(cutout.tobytes())))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
+        trim()
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, PIECES)
 
@@ -210,24 +214,27 @@ def plan(counts: dict[int, int], size: int = SIZE) -> tuple[dict[int, np.ndarray
     return {w: np.array(r, np.int64) for w, r in runs.items()}, sequence
 
 
-def pack(pieces: DataFrame, size: int = SIZE, buckets: int = 64) -> DataFrame:
-    """``pieces`` (a checkpoint or table, read twice) with sequence_id and offset.
+def pack(pieces: DataFrame, size: int = SIZE, each: int = EACH) -> DataFrame:
+    """``pieces`` (a checkpoint or table, read three times) with sequence_id and offset.
 
-    Ranks inside a length come from counts by (length, bucket of the id): at most ``size * buckets`` counts, and a
-    length that very many documents share is ranked by as many tasks as there are buckets.
+    Ranks inside a length come from counts by (length, bucket): a length has a bucket for every ``each`` pieces, so a
+    length that very many pieces share is ranked by as many tasks as it needs, and at most ``size`` counts plus one for
+    every ``each`` pieces reach the driver. Buckets are dealt by row, so repeated rows don't crowd one.
     """
     spark = pieces.sparkSession
-    salted = pieces.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int"))
-    sizes = sorted((r["length"], r["_bucket"], r["count"]) for r in salted.groupBy("length", "_bucket").count().collect())
-    counts, first = defaultdict(int), []
-    for w, bucket, n in sizes:
-        first.append((w, bucket, counts[w]))
-        counts[w] += n
+    counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
+    buckets = {w: -(-n // each) for w, n in counts.items() if n > each}
+    many = F.create_map(*(F.lit(x) for pair in buckets.items() for x in pair))[F.col("length")] if buckets else F.lit(None).cast("int")
+    salted = pieces.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece", F.monotonically_increasing_id()), F.coalesce(many, F.lit(1))).cast("int"))
+    first, before = [], defaultdict(int)
+    for w, bucket, n in sorted((r["length"], r["_bucket"], r["count"]) for r in salted.groupBy("length", "_bucket").count().collect()):
+        first.append((w, bucket, before[w]))
+        before[w] += n
     runs, _ = plan(counts, size)
     shared = spark.sparkContext.broadcast(runs)
-    starts = spark.createDataFrame(first, "length long, _bucket int, _first long")
+    starts = small(spark, first, "length long, _bucket int, _first long")
     rank = F.row_number().over(Window.partitionBy("length", "_bucket").orderBy("doc_id", "piece", "ids_crc32")).cast("long") - 1
-    ranked = salted.withColumn("_at", rank).join(F.broadcast(starts), ["length", "_bucket"])
+    ranked = salted.withColumn("_at", rank).join(F.broadcast(starts), ["length", "_bucket"])  # a row for each count above
     ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("_first") + F.col("_at")).alias("rank"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

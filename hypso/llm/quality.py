@@ -1,10 +1,10 @@
 """Quality scores by nearest-neighbour voting in a latent-semantic space.
 
 Every text becomes a TF-IDF vector over hashed features: its words, the shapes of its words (runs of upper case, lower
-case and digits collapsed, other signs kept), neighbouring shapes and immediate repetitions. A truncated SVD of a
-bounded, labelled sample gives the latent space. The sample's latent vectors, unit length, are broadcast; each
-document's cosines with all of them are computed as exact matrix products in blocks, and its nearest neighbours vote
-with their labels, weighted by similarity.
+case and digits collapsed, other signs kept), neighbouring shapes and immediate repetitions. Document frequencies are
+counted over all documents. A truncated SVD of a bounded, labelled sample gives the latent space. The sample's latent
+vectors, unit length, are broadcast; each document's cosines with all of them are computed as exact matrix products in
+blocks, and its nearest neighbours vote with their labels, weighted by similarity.
 """
 
 from __future__ import annotations
@@ -13,15 +13,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bytesvec as V
-from .shared import annotated, cut, held_out
+from .shared import bounded_batches, cut, held_out, text_column, trim
 
 #: Bounds: labelled documents that are learned from, features, dimensions of the latent space, voting neighbours.
 SAMPLE, WORDS, SHAPES, PAIRS, DIMENSIONS, NEIGHBOURS = 3000, 2048, 1024, 1024, 48, 15
 FEATURES = WORDS + SHAPES + PAIRS
+#: Documents whose dense counts are held at once.
+ROWS = 256
 
 _KIND = np.arange(256, dtype=np.uint8)
 _KIND[65:91] = 65
@@ -80,7 +82,7 @@ def _long(doc: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 def features(docs: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
     """For each run of documents: the first one's index and their feature counts, one row each."""
-    for i, j in V.blocks(docs):
+    for i, j in V.blocks(docs, rows=ROWS):
         if j - i == 1 and len(docs[i]) > 2 * V.BLOCK:
             word, shape = _long(docs[i])
             owner = np.zeros(len(word), np.int64)
@@ -94,7 +96,7 @@ def features(docs: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
         again = np.append(False, word[1:] == word[:-1])[: len(word)] & ~first
         before = np.where(first, np.uint64(0), np.roll(shape, 1)) if len(shape) else shape
         pair = V.mix(shape * np.uint64(3) + before + again * np.uint64(0x1F123BB5159A55E5))
-        counts = np.zeros((j - i) * FEATURES)
+        counts = np.zeros((j - i) * FEATURES, np.int64)
         for f in (word % np.uint64(WORDS), WORDS + shape % np.uint64(SHAPES), WORDS + SHAPES + pair % np.uint64(PAIRS)):
             counts += np.bincount(owner * FEATURES + f.astype(np.int64), minlength=len(counts))
         yield i, counts.reshape(j - i, FEATURES)
@@ -109,17 +111,43 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
+def frequencies(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, int]:
+    """How many documents have each feature, and how many have any: all documents are counted, in one pass whose tasks
+    give one row a feature; as many rows as there are features reach the driver."""
+    bounded_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, rows = np.zeros(FEATURES + 1, np.int64), 0
+        for batch in batches:
+            for _, counts in features([t or b"" for t in batch.column(0).cast(pa.binary()).to_pylist()]):
+                there = counts > 0
+                total[:FEATURES] += there.sum(axis=0)
+                total[FEATURES] += there.any(axis=1).sum()
+                rows += 1
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(FEATURES + 1, dtype=np.int32)), pa.array(total)], ["f", "n"])
+        trim()
+
+    told = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "f int, n long")
+    out = np.zeros(FEATURES + 1, np.int64)
+    for r in told.groupBy("f").agg(F.sum("n").alias("n")).collect():
+        out[r["f"]] = r["n"]
+    return out[:FEATURES], int(out[FEATURES])
+
+
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> dict:
     """The model from at most ``sample`` labelled documents, chosen by a hash of their ids; those held out take no part.
 
-    The ids, bounded, are broadcast to the documents; executors count features, and only the sample's sparse counts
-    reach the driver. Labels that are null are passed over. Of an id with several labels, the smallest counts.
+    Labels of ids that ``docs`` lacks take no room. The ids chosen, bounded, are broadcast to the documents; executors
+    count features, and only the sample's sparse counts reach the driver. Labels that are null are passed over. Of an
+    id with several labels the smallest counts, of one with several texts the smallest.
     """
+    bounded_batches(docs.sparkSession)
     told = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     told = told.where(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id")).groupBy("doc_id").agg(F.min("label").alias("label"))
-    few = cut(told.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.join(F.broadcast(few), "doc_id").select("doc_id", "label", "text")  # at most ``sample`` rows are broadcast
+    few = cut(told.join(rows.select("doc_id"), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
+    rows = rows.join(F.broadcast(few), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))  # at most ``sample`` rows are broadcast
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,8 +156,9 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 at = [np.flatnonzero(c) for c in counts]
                 own = batch.slice(i, len(counts))
                 yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array([a.astype(np.int32) for a in at], pa.list_(pa.int32())), pa.array([c[a].astype(np.int32) for c, a in zip(counts, at, strict=True)], pa.list_(pa.int32()))], ["doc_id", "label", "f", "n"])
+        trim()
 
-    got = rows.mapInArrow(run, "doc_id long, label int, f array<int>, n array<int>").limit(sample).toArrow()
+    got = rows.mapInArrow(run, "doc_id long, label int, f array<int>, n array<int>").toArrow()
     ids, y = got.column("doc_id").to_numpy(), got.column("label").to_numpy().astype(np.float64)
     counts = np.zeros((len(ids), FEATURES), np.float32)
     for k, (f, n) in enumerate(zip(got.column("f"), got.column("n"), strict=True)):
@@ -139,9 +168,10 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     there = counts.any(axis=1)
     prior = float(y.mean()) if len(y) else 0.5
     counts, y = counts[there], y[there]
-    idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 1.0
     if not len(counts):
-        return {"idf": idf, "project": np.zeros((FEATURES, 1), np.float32), "vectors": np.zeros((0, 1), np.float32), "labels": y, "prior": prior}
+        return {"idf": np.ones(FEATURES), "project": np.zeros((FEATURES, 1), np.float32), "vectors": np.zeros((0, 1)), "labels": y, "prior": prior}
+    seen, every = frequencies(docs, text_col)
+    idf = np.log((1 + every) / (1 + seen)) + 1.0
     x = _weighted(counts, idf)
     # Truncated SVD by a randomised range finder with power steps.
     size = min(DIMENSIONS, *x.shape)
@@ -150,11 +180,27 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         q, _ = np.linalg.qr(x.T @ (x @ q))
     _, _, vt = np.linalg.svd(x @ q, full_matrices=False)
     project = (q @ vt.T)[:, :size].astype(np.float32)
-    return {"idf": idf, "project": project, "vectors": _unit(x @ project).astype(np.float32), "labels": y, "prior": prior}
+    return {"idf": idf, "project": project, "vectors": latent(counts, {"idf": idf, "project": project}), "labels": y, "prior": prior}
+
+
+def latent(counts: np.ndarray, model: dict) -> np.ndarray:
+    """Unit vectors of the latent space, in double precision."""
+    return _unit(_weighted(counts, model["idf"]).astype(np.float64) @ model["project"].astype(np.float64))
+
+
+def chosen(near: np.ndarray, k: int) -> np.ndarray:
+    """Which ``k`` neighbours (columns) vote, of each row's cosines: the largest, equal ones by the smaller id."""
+    if k >= near.shape[1]:
+        return np.ones(near.shape, bool)
+    least = np.partition(near, -k, axis=1)[:, -k][:, None]
+    above, equal = near > least, near == least
+    room = k - above.sum(axis=1, keepdims=True)
+    return above | (equal & (np.cumsum(equal, axis=1) <= room))
 
 
 def vote(model: dict, docs: list[bytes], neighbours: int = NEIGHBOURS) -> np.ndarray:
-    """Each text's share of weight that votes for label 1."""
+    """Each text's share of weight that votes for label 1. Cosines count to nine digits, so that the blocks in which
+    the products are taken don't tell; of equal ones the neighbour with the smaller id comes first."""
     out = np.full(len(docs), model["prior"])
     known, labels = model["vectors"], model["labels"]
     if not len(known):
@@ -163,30 +209,32 @@ def vote(model: dict, docs: list[bytes], neighbours: int = NEIGHBOURS) -> np.nda
         there = np.flatnonzero(counts.any(axis=1))
         if not len(there):
             continue
-        near = _unit(_weighted(counts[there], model["idf"]) @ model["project"]) @ known.T
-        k = min(neighbours, len(known))
-        top = np.argpartition(-near, k - 1, axis=1)[:, :k] if k < len(known) else np.tile(np.arange(k), (len(near), 1))
-        weight = np.maximum(np.take_along_axis(near, top, 1), 1e-6).astype(np.float64) ** 4
-        out[i + there] = (weight * labels[top]).sum(axis=1) / weight.sum(axis=1)
+        near = np.round(latent(counts[there], model) @ known.T, 9)
+        row, at = np.nonzero(chosen(near, min(neighbours, len(known))))
+        weight = np.maximum(near[row, at], 1e-6) ** 4
+        out[i + there] = np.bincount(row, weight * labels[at], len(there)) / np.bincount(row, weight, len(there))
     return out
 
 
 def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, score. Texts that are null or have no words get the sample's share of label 1
-    (0.5 without a sample). Whole texts count; repeated rows and null ids are scored like others."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return marked(rows, model, "text", "score").drop("text")
+    """One row per input row: doc_id, score.
+
+    Texts that are null or have no words get the sample's share of label 1 (0.5 without a sample). Whole texts count;
+    repeated rows and null ids are scored like others. Neighbours tie by id, see ``vote``. An empty table gives no
+    rows; other columns of the input, whatever their names, play no part.
+    """
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), voted(model, F.col(text_col), docs).alias("score"))
 
 
-def marked(rows: DataFrame, model: dict, text_col: str, score_name: str) -> DataFrame:
-    """The rows whole, with one column more, as ``score`` has it."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)  # bounded by SAMPLE and FEATURES
+def voted(model: dict, text: Column, docs: DataFrame) -> Column:
+    """A text's score, as ``score`` has it."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by SAMPLE and FEATURES
 
-    def told(column: pa.Array) -> list[pa.Array]:
+    def judged(column: pa.Array) -> pa.Array:
         texts = [t or b"" for t in column.cast(pa.binary()).to_pylist()]
-        return [pa.array(np.clip(vote(shared.value, texts), 0.0, 1.0), pa.float64())]
+        return pa.array(np.clip(vote(shared.value, texts), 0.0, 1.0), pa.float64())
 
-    return annotated(rows, text_col, [(score_name, "double")], told)
+    return text_column(text, "double", judged, docs.sparkSession)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:

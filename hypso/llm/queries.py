@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, bpe_chunks, dedup_exact, langid, minhash, packing, quality, sharding, tokencount, urlfilter
-from .shared import file_bytes, scratch, table
+from .shared import file_bytes, release, scratch, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -46,8 +46,12 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """With a cache of its own that begins empty, so every distinct text is encoded."""
-    return tokencount.count_tokens(table(spark, sf_dir, "documents"), file_bytes(PIECE_BPE), scratch(spark, "token-cache"))
+    """Counted twice through a cache that begins empty: the first time each distinct text is a miss and is encoded,
+    the second time all counts that are returned are hits."""
+    docs, model, cache = table(spark, sf_dir, "documents"), file_bytes(PIECE_BPE), scratch(spark, "token-cache")
+    tokencount.count_tokens(docs, model, cache)
+    release(spark)
+    return tokencount.count_tokens(docs, model, cache)
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,9 +100,10 @@ def _rules_sql() -> tuple[str, str]:
 
 def _op6() -> str:
     rule, verdict = _rules_sql()
+    x = 0.5
     two = ", ".join(f"'{s}'" for s in urlfilter.TWO_LABEL)
     return f"""
-WITH u AS (SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substring(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
+WITH RECURSIVE u AS (SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substring(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
 p AS (SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1), '{_UPPER}', '{_UPPER.lower()}') AS host,
              regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM u),
 told AS (SELECT doc_id AS page_id, max(CASE WHEN toxic = 1 OR quality = 0 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY 1),
@@ -113,7 +118,16 @@ w0 AS ({_weight_sql("suffixes")}), w1 AS ({_weight_sql("domains")}), w2 AS ({_we
 s AS (SELECT suffix, (bad + w0.m * p0) / (n + w0.m) AS ps FROM suffixes, w0, (SELECT sum(bad)::DOUBLE / sum(n) AS p0 FROM suffixes)),
 d AS (SELECT domain, suffix, (bad + w1.m * ps) / (n + w1.m) AS pd FROM domains JOIN s USING (suffix), w1),
 post AS (SELECT host, bad + w2.m * pd AS a, n - bad + w2.m * (1 - pd) AS b FROM hosts JOIN d USING (suffix, domain), w2),
-blocked AS (SELECT host FROM post WHERE a / (a + b) - 1.645::DOUBLE * sqrt(a / (a + b) * (b / (a + b)) / (a + b + 1)) > 0.5)
+near AS (SELECT *, {x}::DOUBLE < (a + 1) / (a + b + 2) AS near FROM post WHERE a + b <= {urlfilter.EVIDENCE}::DOUBLE),
+side AS (SELECT host, near, CASE WHEN near THEN a ELSE b END AS p, CASE WHEN near THEN b ELSE a END AS q, CASE WHEN near THEN {x}::DOUBLE ELSE {1 - x}::DOUBLE END AS x FROM near),
+cf(host, near, p, q, x, m, c, d, h) AS (
+  SELECT host, near, p, q, x, 1, 1::DOUBLE, 1 / (1 - (p + q) * x / (p + 1)), 1 / (1 - (p + q) * x / (p + 1)) FROM side
+  UNION ALL SELECT host, near, p, q, x, m + 1, c2, 1 / (1 + odd * d1), h * d1 * c1 * c2 / (1 + odd * d1) FROM
+    (SELECT *, 1 + odd / c1 AS c2 FROM (SELECT *, 1 / (1 + even * d) AS d1, 1 + even / c AS c1 FROM
+      (SELECT *, m * (q - m) * x / ((p - 1 + 2 * m) * (p + 2 * m)) AS even, -(p + m) * (p + q + m) * x / ((p + 2 * m) * (p + 1 + 2 * m)) AS odd FROM cf WHERE m <= {urlfilter.STEPS})))),
+tail AS (SELECT host, near, exp(p * ln(x) + q * ln(1 - x) + lgamma(p + q) - lgamma(p) - lgamma(q)) * h / p AS t FROM cf WHERE m = {urlfilter.STEPS} + 1),
+blocked AS (SELECT host FROM tail WHERE CASE WHEN near THEN t ELSE 1 - t END < {urlfilter.SHARE}::DOUBLE UNION ALL
+  SELECT host FROM post WHERE a + b > {urlfilter.EVIDENCE}::DOUBLE AND a / (a + b) - {urlfilter.NORMAL}::DOUBLE * sqrt(a / (a + b) * (b / (a + b)) / (a + b + 1)) > {x}::DOUBLE)
 SELECT page_id, host, path, {rule} AS rule,
        coalesce({verdict}, CASE WHEN host IN (SELECT host FROM blocked) THEN 'block' ELSE 'allow' END) AS verdict
 FROM p

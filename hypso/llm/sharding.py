@@ -1,8 +1,8 @@
 """Sharding by a Feistel permutation with cycle walking over global row numbers, in DataFrame functions only.
 
-Every row gets a global number: rows are hashed into a fixed count of buckets, bucket sizes give each bucket's first
-number (as many counts as buckets reach the driver, whatever the data), and rows are numbered inside their bucket.
-A Feistel network over a grid of a x b cells, a * b >= N, permutes the numbers under a seed; a cell beyond N is walked
+Every row gets a global number: rows equal in all columns are counted first, the different ones are hashed into buckets
+whose number grows with the rows, bucket sizes give each bucket's first number (as many counts as buckets reach the
+driver), and rows are numbered inside their bucket, a repeated one with as many numbers as it has copies. A Feistel network over a grid of a x b cells, a * b >= N, permutes the numbers under a seed; a cell beyond N is walked
 on until it falls below N. With p the permuted number, the shard is p mod shards and the slot p div shards.
 """
 
@@ -13,10 +13,12 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import cut
+from .shared import cut, small
 
 ROUNDS = 6
 STEPS = 64
+#: Different rows that one task numbers, about, and copies of a row that one task unfolds at once.
+EACH, RUN = 250_000, 10_000
 
 
 def grid(n: int) -> tuple[int, int]:
@@ -53,20 +55,31 @@ def permuted(number: Column, n: int, seed: int) -> Column:
     return F.when(walked < F.lit(n), walked).otherwise(F.raise_error(F.lit("the cycle walk did not end")).cast("long"))
 
 
-def numbered(rows: DataFrame, by: list[str], buckets: int = 4096) -> tuple[DataFrame, int]:
-    """``rows`` with ``number`` 0 .. N-1, and N. The order follows a hash of ``by``, then ``by``: the same rows get the
-    same numbers in any layout; rows equal in ``by`` share theirs in any order. ``rows`` is read twice."""
-    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64(*by), F.lit(buckets)).cast("int"))
-    counts = sorted((r["_bucket"], r["count"]) for r in rows.groupBy("_bucket").count().collect())
+def numbered(rows: DataFrame, by: list[str], least: int = 64, each: int = EACH) -> tuple[DataFrame, int]:
+    """The columns ``by`` of all rows with ``number`` 0 .. N-1, and N. The order follows a hash of ``by``, then ``by``:
+    the same rows get the same numbers in any layout, and rows that are equal get different ones.
+
+    There is a bucket for every ``each`` different rows, ``least`` at least. Copies of one row become rows again in
+    two steps of bounded width, so that no task unfolds a row that a third of the table repeats.
+    """
+    once = cut(rows.groupBy(*by).agg(F.count("*").alias("_copies")))
+    buckets = max(least, -(-once.count() // each))
+    once = once.withColumn("_bucket", F.pmod(F.xxhash64(*by), F.lit(buckets)).cast("int"))
+    counts = sorted((r["_bucket"], r["n"]) for r in once.groupBy("_bucket").agg(F.sum("_copies").alias("n")).collect())
     first, total = [], 0
     for bucket, count in counts:
         first.append((bucket, total))
         total += count
-    spark = rows.sparkSession
-    starts = spark.createDataFrame(first, "_bucket int, _first long")
-    within = F.row_number().over(Window.partitionBy("_bucket").orderBy(*by)).cast("long") - 1
-    out = rows.withColumn("_at", within).join(F.broadcast(starts), "_bucket")  # one row per bucket
-    return out.withColumn("number", F.col("_first") + F.col("_at")).drop("_bucket", "_at", "_first"), total
+    starts = small(rows.sparkSession, first, "_bucket int, _first long")
+    before = Window.partitionBy("_bucket").orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    out = once.withColumn("_at", F.coalesce(F.sum("_copies").over(before), F.lit(0)))
+    out = out.join(F.broadcast(starts), "_bucket").withColumn("_at", F.col("_first") + F.col("_at"))  # one row per bucket
+    alone = out.where("_copies = 1").select(*by, F.col("_at").alias("number"))
+    # Runs of so many copies, dealt out, then the copies.
+    runs = out.where("_copies > 1").withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), _div(F.col("_copies") - 1, RUN))))
+    runs = runs.repartition(F.xxhash64(*by, "_run")).withColumn("_last", F.least(F.col("_copies"), (F.col("_run") + 1) * RUN) - 1)
+    copies = runs.withColumn("_i", F.explode(F.sequence(F.col("_run") * RUN, F.col("_last")))).select(*by, (F.col("_at") + F.col("_i")).alias("number"))
+    return alone.unionByName(copies), total
 
 
 def shard_rows(docs: DataFrame, shards: int, seed: int = 20240229, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -74,7 +87,8 @@ def shard_rows(docs: DataFrame, shards: int, seed: int = 20240229, id_col: str =
 
     Law ``rows``: shard sizes differ by one row at most, and the slots of a shard are gapless from 0. A null text has
     size 8 and the checksum of the empty text; a null id is a value like any other. Equal rows get different slots.
-    An empty table gives no rows; other columns of the input play no part. ``grown_shard`` is null under this law.
+    An empty table gives no rows; very long texts count by their bytes like others; other columns of the input, whatever
+    their names, play no part. ``grown_shard`` is null under this law.
     """
     text = F.col(text_col).cast("string")
     rows = docs.select(
@@ -82,7 +96,7 @@ def shard_rows(docs: DataFrame, shards: int, seed: int = 20240229, id_col: str =
         (F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 8).alias("size"),
         F.coalesce(F.crc32(text), F.lit(0)).cast("long").alias("text_crc32"),
     )
-    rows, total = numbered(cut(rows), ["doc_id", "size", "text_crc32"])
+    rows, total = numbered(rows, ["doc_id", "size", "text_crc32"])
     p = permuted(F.col("number"), max(total, 1), seed)
     rows = rows.withColumn("_p", p)
     return rows.select(

@@ -6,27 +6,28 @@ import contextlib
 import ctypes
 import gc
 import os
+import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share.
+    """The folder that the driver and all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset, as in tests on one machine,
-    a temporary folder of this machine is taken.
+    Where that is unset, a session on one machine (master ``local``) takes a temporary folder; any other is refused.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    own = spark.sparkContext.getCheckpointDir()
-    return own.rstrip("/") if own else "file://" + os.path.join(tempfile.gettempdir(), "hypso-shared")
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return "file://" + os.path.join(tempfile.gettempdir(), "hypso-shared")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -34,12 +35,20 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The same rows with their lineage cut by a reliable checkpoint in the shared folder."""
+def cut(df: DataFrame, rows: int | None = None, each: int = 25_000) -> DataFrame:
+    """The same rows with their lineage cut by a reliable checkpoint in the shared folder.
+
+    With ``rows``, about how many there are, the checkpoint has a file for every ``each`` of them and no more, where
+    the last stage's work is light: a small table in hundreds of files costs more to open than to read.
+    """
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
         context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    return (df if rows is None else df.coalesce(files(rows, each))).checkpoint(eager=True)
+
+
+def files(rows: int, each: int = 25_000) -> int:
+    return max(1, -(-rows // each))
 
 
 def release(spark: SparkSession) -> None:
@@ -70,22 +79,53 @@ def trim() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
-def annotated(rows: DataFrame, text_col: str, extra: list[tuple[str, str]], told) -> DataFrame:
-    """``rows`` with further columns (name, type) that ``told(texts)`` gives as Arrow arrays for an Arrow array of texts.
+_kept: dict[tuple, object] = {}
+
+
+def held(key: tuple, make: Callable[[], object]):
+    """The one model that a worker process keeps from task to task; another key's takes its place."""
+    if key not in _kept:
+        _kept.clear()
+        trim()
+        _kept[key] = make()
+    return _kept[key]
+
 
-    Rows pass through the Arrow kernel whole, so decisions need no join and no shuffle. Names must not clash with the
-    rows' own.
+def text_column(text: Column, kind: str, told: Callable[[pa.Array], pa.Array], spark: SparkSession) -> Column:
+    """What ``told`` gives for Arrow arrays of texts, as a column of type ``kind``.
+
+    Only the texts travel to Python: the rows they belong to stay where they are, whatever columns they have.
     """
-    bounded_batches(rows.sparkSession)
-    at = rows.columns.index(text_col)
+    bounded_batches(spark)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, *told(batch.column(at))], [*batch.schema.names, *(n for n, _ in extra)])
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield told(texts)
         trim()
 
-    schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in rows.schema), *(T.StructField(n, T._parse_datatype_string(t)) for n, t in extra)])
-    return rows.mapInArrow(run, schema)
+    return F.arrow_udf(run, kind)(text.cast("string"))
+
+
+def fresh(rows: DataFrame, name: str) -> str:
+    """``name``, or if ``rows`` has such a column, a longer name that it lacks."""
+    there = {c.lower() for c in rows.columns}
+    while name.lower() in there:
+        name += "_"
+    return name
+
+
+def small(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few rows of the driver's as a table, by Arrow, without a Python worker."""
+    kinds = {"int": pa.int32(), "long": pa.int64(), "string": pa.string()}
+    fields = [f.split() for f in schema.split(", ")]
+    columns = list(zip(*rows, strict=True)) or [()] * len(fields)
+    return spark.createDataFrame(pa.table({n: pa.array(c, kinds[k]) for (n, k), c in zip(fields, columns, strict=True)}))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared file system."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -21,14 +21,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bytesvec as V
-from .shared import cut
+from .shared import bounded_batches, cut, held, trim
 
 _MARK = "▁"
 CACHE = "key string, tokenizer string, n_tokens long"
 
 
 class PieceCounter:
-    def __init__(self, model: bytes, memo_bits: int = 21):
+    def __init__(self, model: bytes, memo_bits: int = 20):
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
         pieces = (self.library.id_to_piece(i) for i in range(self.library.get_piece_size()))
         # Segments are independent only if no piece crosses from a word to the space after it, and if the model adds
@@ -116,15 +116,8 @@ class PieceCounter:
         return out
 
 
-_made: dict[int, PieceCounter] = {}
-
-
 def _counter(model: bytes) -> PieceCounter:
-    key = hash(model)
-    if key not in _made:
-        _made.clear()
-        _made[key] = PieceCounter(model)
-    return _made[key]
+    return held(("pieces", hash(model)), lambda: PieceCounter(model))
 
 
 def read_cache(spark: SparkSession, path: str) -> DataFrame:
@@ -141,31 +134,44 @@ def count_tokens(docs: DataFrame, model: bytes, cache: str, limit: int = 4096, i
     """One row per input row: doc_id, n_bytes, n_tokens, over_limit. New counts are appended to ``cache``, a path of a
     Parquet table that driver and executors share.
 
-    Null texts count as empty: no bytes, no tokens. Repeated rows and null ids get their counts like others. Texts move
-    at most once, by id, and only ids and digests otherwise; a digest that many rows share is combined map-side before
-    it is shuffled, and its join is one that Spark splits by size. Cached counts of other models are ignored.
+    Null texts count as empty: no bytes, no tokens. Very long texts are counted in slices that add up exactly. Repeated
+    rows and null ids get their counts like others; an empty table gives no rows; other columns play no part. Texts
+    move at most once, by id, and only if some are missing from the cache; else only ids and digests do. A digest that
+    many rows share is combined map-side before it is shuffled, and its join is one that Spark splits by size. Cached
+    counts of other models are ignored. A key that the cache holds several times, as after two writers or a repeated
+    append, counts once; were its counts to differ, the smallest is taken.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     version = hashlib.sha256(model).hexdigest()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.sha2(text, 256).alias("key"))
     keys = cut(texts.select("doc_id", "key", F.octet_length("text").cast("long").alias("n_bytes")))
-    stored = read_cache(spark, cache).where(F.col("tokenizer") == version).select("key", "n_tokens")
-    distinct = keys.groupBy("key").agg(F.min("doc_id").alias("first"))
-    misses = distinct.join(stored, "key", "left_anti")
+    misses = cut(keys.groupBy("key").agg(F.min("doc_id").alias("first")).join(stored(spark, cache, version), "key", "left_anti"))
+    if not misses.isEmpty():
+        _encode(texts, misses, model, version, cache)
+    out = keys.join(stored(spark, cache, version), "key")
+    return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+
+
+def stored(spark: SparkSession, cache: str, version: str) -> DataFrame:
+    """key, n_tokens of one model version, each key once."""
+    return read_cache(spark, cache).where(F.col("tokenizer") == version).groupBy("key").agg(F.min("n_tokens").alias("n_tokens"))
+
+
+def _encode(texts: DataFrame, misses: DataFrame, model: bytes, version: str, cache: str) -> None:
+    """Appends the counts of ``misses`` (key, first: an id whose text it is) to the cache."""
     misses = misses.select(F.col("key").alias("miss"), "first")
-    shared = spark.sparkContext.broadcast(model)
+    shared = texts.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(shared.value)
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([version] * len(texts), pa.string()), pa.array(counter.counts(texts))], ["key", "tokenizer", "n_tokens"])
+            own = batch.column(1).cast(pa.binary()).to_pylist()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([version] * len(own), pa.string()), pa.array(counter.counts(own))], ["key", "tokenizer", "n_tokens"])
+        trim()
 
     once = texts.join(misses.hint("shuffle_hash"), texts["doc_id"].eqNullSafe(misses["first"]) & (texts["key"] == misses["miss"]), "left_semi")
     counted = once.select("key", "text").mapInArrow(run, CACHE)
     # Rows that repeat a first id with its text were counted twice; a key is stored once.
     counted.dropDuplicates(["key", "tokenizer"]).write.mode("append").parquet(cache)
-    known = read_cache(spark, cache).where(F.col("tokenizer") == version).select("key", "n_tokens")
-    out = keys.join(known, "key")
-    return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -15,6 +15,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 from . import bytesvec as V
+from .shared import held
 
 # Classes of bytes: 0 white space, 1 letter, 2 digit, 3 other sign, 9 for the library.
 _CLASS = np.full(256, 9, np.uint8)
@@ -31,7 +32,7 @@ _ALPHABET = {b: b for b in _PRINTED} | {b: 256 + k for k, b in enumerate(x for x
 
 
 class WordBpe:
-    def __init__(self, spec: bytes, memo_bits: int = 21):
+    def __init__(self, spec: bytes, memo_bits: int = 20):
         self.whole = Tokenizer.from_str(spec.decode())
         self.whole.no_truncation()
         self.whole.no_padding()
@@ -148,13 +149,6 @@ class WordBpe:
         return " ".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
-_made: dict[int, WordBpe] = {}
-
-
 def of(spec: bytes) -> WordBpe:
     """One encoder in each worker process for a vocabulary; later tasks find its table filled."""
-    key = hash(spec)
-    if key not in _made:
-        _made.clear()
-        _made[key] = WordBpe(spec)
-    return _made[key]
+    return held(("wordbpe", hash(spec)), lambda: WordBpe(spec))

@@ -36,12 +36,31 @@ def test_stages_take_effect(spark):
     assert whole.agg(F.sum("length"), F.count("*")).first() == packed.agg(F.sum("length"), F.count("*")).first()
 
 
+CLASHES = ["_lang", "_score", "_own_key", "_OWN_KEY_", "kept_id", "lang_pred", "score", "told", "key", "n", "id", "best", "component_id", "kept"]
+
+
 def test_awkward_tables(spark):
+    """Nulls, empty texts, repeated rows, empty tables, and columns named like those that operators use inside."""
+    words = " ".join(f"w{k}" for k in range(60))
     rows = [(1, None, None, None, None), (2, "", "en", "s", 0), (None, "the null id is here", "en", "s", 3), (4, "the cat sat on the mat", "en", "s", 2), (4, "the cat sat on the mat", "en", "s", 2)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    for some in (docs, docs.where("false")):
-        for _, stage in corpus_pipeline.STAGES:
-            stage(spark, some, DATA).collect()
+    rows += [(5, words, "en", "s", 1), (6, words + " x", "en", "s", 1), (7, words.upper(), "en", "s", 1), (None, words, "en", "s", 1), (8, "12 34 !", "en", "s", 1)]
+    plain = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    extra = plain.select("*", *(F.concat(F.lit(c), F.lit(":"), F.col("doc_id").cast("string")).alias(c) for c in CLASHES))
+    stages = dict(corpus_pipeline.STAGES)
+    for some in (plain, extra):
+        got = {}
+        for name in ("language", "quality", "exact", "near"):
+            left = stages[name](spark, some, DATA)
+            assert left.columns == some.columns and left.schema == some.schema
+            got[name] = left.collect()
+            if some is extra:
+                assert all(r[c] == (None if r.doc_id is None else f"{c}:{r.doc_id}") for r in got[name] for c in CLASHES)
+        assert sorted(str(r.doc_id) for r in got["language"]) == ["4", "4", "5", "6", "7", "None", "None"]
+        assert sorted(str(r.doc_id) for r in got["exact"]) == ["2", "4", "6", "7", "8", "None"]
+        assert sorted(str(r.doc_id) for r in got["near"]) == ["1", "2", "4", "4", "5", "8", "None", "None"]
+        assert stages["packing"](spark, some, DATA).count() == len(rows)
+        for stage in stages.values():
+            assert stage(spark, some.where("false"), DATA).count() == 0
 
 
 def test_clean_documents_stay(spark):
