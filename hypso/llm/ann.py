@@ -173,19 +173,20 @@ def cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (x * y).sum(axis=1) / np.sqrt((x * x).sum(axis=1)) / np.sqrt((y * y).sum(axis=1))
 
 
-_FOUND = "query_id long, vec_id long, key string, score double"
+_FOUND = "query_id long, vec_id long, key string, copied boolean, score double"
 
 
 def _reranked(k: int):
-    """A kernel for one cell: the best k + 1 of each query's candidates there. One more than asked for, as the entry
-    that holds the query itself may be expanded to others. Of equal scores the smaller ids come first."""
+    """A kernel for one cell: of each query's candidates there, those of the best k + 1 ids. One more than asked for, as
+    the entry that holds the query itself may be expanded to others. Of equal scores the smaller ids come first. An
+    id's other vectors are kept where copies of them have other ids."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         if left.num_rows and right.num_rows:
             code, x, y = left.column("code").to_numpy(), matrix(left.column("vec")), matrix(right.column("vec"))
             order = np.argsort(code, kind="stable")
-            code, ids = code[order], left.column("vec_id").to_numpy()
+            code, ids, copied = code[order], left.column("vec_id").to_numpy(), left.column("copied").to_numpy()
             codes = right.column("codes").combine_chunks()
             if codes.null_count:  # an exact search: all rows are candidates
                 low, high, owner = np.zeros(len(y), np.int64), np.full(len(y), len(x)), np.arange(len(y))
@@ -206,12 +207,14 @@ def _reranked(k: int):
                 score = np.concatenate([cosines(x[r[i : i + PAIRS]], y[q[i : i + PAIRS]]) for i in range(0, len(q), PAIRS)]) if len(q) else np.zeros(0)
                 best = np.lexsort((ids[r], -score, q))
                 q, r, score = q[best], r[best], score[best]
-                rank = np.arange(len(q)) - np.searchsorted(q, q, "left")
-                keep = rank <= k
+                first = np.zeros(len(q), bool)
+                first[np.unique(np.stack([q, ids[r]]), axis=1, return_index=True)[1]] = True
+                seen = np.concatenate([[0], np.cumsum(first)])
+                keep = (seen[1:] - seen[np.searchsorted(q, q, "left")] <= k + 1) & (first | copied[r])
                 out.append((q[keep], r[keep], score[keep]))
         q, r, score = (np.concatenate(c) if out else np.zeros(0, np.int64) for c in (zip(*out, strict=True) if out else ((), (), ())))
         q, r = pa.array(q.astype(np.int64)), pa.array(r.astype(np.int64))
-        return pa.table({"query_id": right.column("query_id").take(q), "vec_id": left.column("vec_id").take(r), "key": left.column("key").take(r), "score": pa.array(score.astype(np.float64))})
+        return pa.table({"query_id": right.column("query_id").take(q), "vec_id": left.column("vec_id").take(r), "key": left.column("key").take(r), "copied": left.column("copied").take(r), "score": pa.array(score.astype(np.float64))})
 
     return run
 
@@ -225,7 +228,7 @@ def _met(base: DataFrame, probe: DataFrame, k: int) -> DataFrame:
     base = base.withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)))
     probe = probe.join(sizes, "cell").withColumn("turn", F.pmod(F.xxhash64("query_id", "key"), F.col("turns")).cast("int"))
     probe = probe.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    left = base.select("cell", "part", "turn", "vec_id", "key", "vec", "code").groupBy("cell", "part", "turn")
+    left = base.select("cell", "part", "turn", "vec_id", "key", "copied", "vec", "code").groupBy("cell", "part", "turn")
     # The vectors of both sides may be one column of one table; its alias is another column.
     right = probe.select("cell", "part", "turn", "query_id", F.col("vec").alias("vec"), "codes").groupBy("cell", "part", "turn")
     return left.cogroup(right).applyInArrow(_reranked(k), _FOUND)
@@ -234,8 +237,10 @@ def _met(base: DataFrame, probe: DataFrame, k: int) -> DataFrame:
 def _named(found: DataFrame, copies: DataFrame, k: int) -> DataFrame:
     """The best k of each query, entries expanded to the ids of all equal vectors."""
     by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    found = found.groupBy("query_id", "vec_id", "key").agg(F.max("score").alias("score"))
-    found = found.withColumn("r", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id", "key"))).where(F.col("r") <= k + 1).drop("r")
+    found = found.groupBy("query_id", "vec_id", "key", "copied").agg(F.max("score").alias("score"))
+    order = (F.desc("score"), "vec_id", "key")
+    found = found.withColumn("first", (F.row_number().over(Window.partitionBy("query_id", "vec_id").orderBy(*order)) == 1).cast("int"))
+    found = found.withColumn("ids", F.sum("first").over(Window.partitionBy("query_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))).where(F.col("ids") <= k + 1)
     more = found.withColumnRenamed("vec_id", "entry").join(copies, ["entry", "key"]).select("query_id", F.col("copy").alias("vec_id"), "score")
     every = found.select("query_id", "vec_id", "score").unionByName(more).where("vec_id <> query_id")
     every = every.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
@@ -261,9 +266,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, tables: int = TA
     n = keyed.count()
     asked = cut(named(queries).dropDuplicates(["vec_id", "key"]).select(F.col("vec_id").alias("query_id"), "key", "vec"))
     # Equal vectors: one entry, named by its smallest id.
-    grouped = cut(settle(keyed.select("vec_id", "key"), "key", "vec_id", largest=False).select("vec_id", "key", "best"), n)
-    entries = keyed.join(grouped.where("vec_id = best").select("vec_id", "key").distinct(), ["vec_id", "key"]).dropDuplicates(["vec_id", "key"])
-    entries = cut(entries.select("vec_id", "key", "vec"))
+    grouped = cut(settle(keyed.select("vec_id", "key"), "key", "vec_id", largest=False).select("vec_id", "key", "best", (F.col("n") > 1).alias("copied")), n)
+    entries = keyed.join(grouped.where("vec_id = best").select("vec_id", "key", "copied").distinct(), ["vec_id", "key"]).dropDuplicates(["vec_id", "key"])
+    entries = cut(entries.select("vec_id", "key", "copied", "vec"))
     few = Window.partitionBy("best", "key").orderBy("vec_id")
     copies = grouped.where("vec_id <> best").select("best", "key", "vec_id").distinct()
     copies = copies.withColumn("r", F.row_number().over(few)).where(F.col("r") <= k + 1).select(F.col("best").alias("entry"), "key", F.col("vec_id").alias("copy"))
@@ -273,7 +278,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, tables: int = TA
     short = cut(short.select("query_id", "key", "vec", F.size("vec").cast("long").alias("cell"), F.lit(None).cast("array<long>").alias("codes")))
     if short.isEmpty():
         return told
-    whole = entries.select("vec_id", "key", "vec", F.size("vec").cast("long").alias("cell"), F.lit(0).cast("long").alias("code"))
+    whole = entries.select("vec_id", "key", "copied", "vec", F.size("vec").cast("long").alias("cell"), F.lit(0).cast("long").alias("code"))
     exact = _named(_met(whole, short, k), copies, k)
     return told.join(short.select("query_id").distinct(), "query_id", "left_anti").unionByName(exact)
 
