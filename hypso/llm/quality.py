@@ -158,21 +158,19 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array([a.astype(np.int32) for a in at], pa.list_(pa.int32())), pa.array([c[a].astype(np.int32) for c, a in zip(counts, at, strict=True)], pa.list_(pa.int32()))], ["doc_id", "label", "f", "n"])
         trim()
 
-    got = rows.mapInArrow(run, "doc_id long, label int, f array<int>, n array<int>").toArrow()
-    ids, y = got.column("doc_id").to_numpy(), got.column("label").to_numpy().astype(np.float64)
-    counts = np.zeros((len(ids), FEATURES), np.float32)
-    for k, (f, n) in enumerate(zip(got.column("f"), got.column("n"), strict=True)):
-        counts[k, f.values.to_numpy()] = n.values.to_numpy()
-    order = np.argsort(ids, kind="stable")
-    counts, y = counts[order], np.clip(y[order], 0, 1)
-    there = counts.any(axis=1)
+    got = rows.mapInArrow(run, "doc_id long, label int, f array<int>, n array<int>").toArrow().sort_by("doc_id")
+    y = np.clip(got.column("label").to_numpy().astype(np.float64), 0, 1)
     prior = float(y.mean()) if len(y) else 0.5
-    counts, y = counts[there], y[there]
-    if not len(counts):
-        return {"idf": np.ones(FEATURES), "project": np.zeros((FEATURES, 1), np.float32), "vectors": np.zeros((0, 1)), "labels": y, "prior": prior}
+    there = np.array([len(f) > 0 for f in got.column("f")], bool)
+    if not there.any():
+        return {"idf": np.ones(FEATURES), "project": np.zeros((FEATURES, 1), np.float32), "vectors": np.zeros((0, 1)), "labels": y[there], "prior": prior}
     seen, every = frequencies(docs, text_col)
     idf = np.log((1 + every) / (1 + seen)) + 1.0
-    x = _weighted(counts, idf)
+    x = np.zeros((int(there.sum()), FEATURES), np.float32)  # the one large array that the driver holds
+    for row, k in enumerate(np.flatnonzero(there).tolist()):
+        f = got.column("f")[k].values.to_numpy()
+        x[row, f] = _weighted(got.column("n")[k].values.to_numpy()[None, :], idf[f])[0]
+    del got
     # Truncated SVD by a randomised range finder with power steps.
     size = min(DIMENSIONS, *x.shape)
     q = np.random.Generator(np.random.PCG64(5)).standard_normal((x.shape[1], min(size + 10, *x.shape))).astype(np.float32)
@@ -180,12 +178,17 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         q, _ = np.linalg.qr(x.T @ (x @ q))
     _, _, vt = np.linalg.svd(x @ q, full_matrices=False)
     project = (q @ vt.T)[:, :size].astype(np.float32)
-    return {"idf": idf, "project": project, "vectors": latent(counts, {"idf": idf, "project": project}), "labels": y, "prior": prior}
+    vectors = np.concatenate([_latent(x[i : i + ROWS], project) for i in range(0, len(x), ROWS)])
+    return {"idf": idf, "project": project, "vectors": vectors, "labels": y[there], "prior": prior}
+
+
+def _latent(x: np.ndarray, project: np.ndarray) -> np.ndarray:
+    return _unit(x.astype(np.float64) @ project.astype(np.float64))
 
 
 def latent(counts: np.ndarray, model: dict) -> np.ndarray:
     """Unit vectors of the latent space, in double precision."""
-    return _unit(_weighted(counts, model["idf"]).astype(np.float64) @ model["project"].astype(np.float64))
+    return _latent(_weighted(counts, model["idf"]), model["project"])
 
 
 def chosen(near: np.ndarray, k: int) -> np.ndarray:
