@@ -35,14 +35,19 @@ def parser() -> argparse.ArgumentParser:
     box = ("--bbox", {"type": _box, "default": tiling_job.WORLD})
     command("bounds", ("folder", {}), ("--output", {"required": True}))
     command("aggregate", sources, root, *zooms, box, ("--output", {"required": True}), ("--lineage", {"action": "store_true"}), ("--pmtiles", {"action": "store_true"}), ("--overwrite", {"action": "store_true"}))
-    command("split", sources, root, ("--pattern", {"default": "balanced", "choices": list(zoom_split.PATTERNS)}), ("--max-zoom", {"type": int, "default": 16}), box, ("--folder", {"required": True}), ("--resume", {"action": "store_true"}))
+    overwrite = ("--overwrite", {"action": "store_true"})
+    command("split", sources, root, ("--pattern", {"default": "balanced", "choices": list(zoom_split.PATTERNS)}), ("--max-zoom", {"type": int, "default": 16}), box, ("--output", {"required": True}), ("--resume-from", {"type": int, "default": 0}), ("--lineage", {"action": "store_true"}), ("--keep", {"action": "store_true"}), overwrite)
+    command("subtree", sources, root, *zooms, ("--tiles", {"nargs": "+", "type": tiling_job.parse_tile, "required": True}), ("--folder", {"required": True}), overwrite)
+    command("hybrid", sources, root, *zooms, box, ("--output", {"required": True}), ("--mode", {"choices": ("max", "priority"), "default": "priority"}), overwrite)
+    command("lineage-tile", sources, root, ("--tile", {"required": True}), ("--size", {"type": int, "default": 512}), ("--out", {}))
+    command("sample", ("archive", {}), ("--most", {"type": int, "default": 32}))
     command("convert", ("raster", {}), ("output", {}), *zooms, ("--overwrite", {"action": "store_true"}))
     command("merge", ("inputs", {"nargs": "+"}), ("--output", {"required": True}), ("--no-verify", {"action": "store_true"}), ("--overwrite", {"action": "store_true"}))
     command("merge-pixelwise", ("inputs", {"nargs": "+"}), ("--output", {"required": True}), ("--mode", {"choices": ("max", "priority"), "default": "max"}), ("--overwrite", {"action": "store_true"}))
     command("pack", ("input", {}), ("output", {}))
     command("inspect", ("archive", {}))
     command("compare", ("reference", {}), ("archive", {}))
-    command("fill", sources, root, ("--tile", {"required": True}), ("--size", {"type": int, "default": 512}))
+    command("fill", sources, root, ("--tile", {"required": True}), ("--size", {"type": int, "default": 512}), ("--archive", {}))
     command("subtrees", sources, root, ("--output", {"required": True}), ("--max-sources", {"type": int, "default": 5}))
     command("patterns", ("--pattern", {"default": "balanced"}), ("--target-gb", {"type": float}), ("--max-zoom", {"type": int, "default": 16}))
     command("eta", ("log", {}), ("--target-bytes", {"type": int, "required": True}), ("--window", {"type": int, "default": 300}))
@@ -71,20 +76,31 @@ def run(spark: SparkSession, a: argparse.Namespace) -> None:
             print(f"{r.path}: {r.error}", file=sys.stderr)
         catalog.write_bounds(scanned, a.output)
     elif a.command == "aggregate":
-        tiling_job.aggregate(spark, a.root, a.sources, a.output, a.min_zoom, a.max_zoom, a.bbox, lineage=a.lineage, pmtiles=a.pmtiles, overwrite=a.overwrite)
+        counts = tiling_job.aggregate(spark, a.root, a.sources, a.output, a.min_zoom, a.max_zoom, a.bbox, lineage=a.lineage, pmtiles=a.pmtiles, overwrite=a.overwrite)
+        print(f"{counts['emitted']} tiles from {counts['checked']} candidates ({100 * counts['emitted'] / max(1, counts['checked']):.1f} %)")
     elif a.command == "split":
-        for path in tiling_job.aggregate_split(spark, a.root, a.sources, a.folder, a.pattern, a.max_zoom, a.resume, bbox=a.bbox):
+        for path in tiling_job.aggregate_split(spark, a.root, a.sources, a.output, a.pattern, a.max_zoom, a.resume_from, a.bbox, lineage=a.lineage, overwrite=a.overwrite, keep=a.keep):
             print(path)
+    elif a.command == "subtree":
+        for path in tiling_job.aggregate_subtrees(spark, a.root, a.sources, a.folder, a.tiles, a.min_zoom, 16 if a.max_zoom is None else a.max_zoom, overwrite=a.overwrite):
+            print(path)
+    elif a.command == "hybrid":
+        for path in tiling_job.merge_hybrid(spark, a.root, a.sources, a.output, a.min_zoom, a.max_zoom, a.mode, a.bbox, overwrite=a.overwrite):
+            print(path)
+    elif a.command == "lineage-tile":
+        z, x, y = map(int, a.tile.split("/"))
+        image = tiling_job.lineage_tile(spark, a.root, a.sources, z, x, y, a.out, a.size)
+        print("no source has a value there" if image is None else f"{image.shape[1]} x {image.shape[0]} pixels" + (f", written to {a.out}" if a.out else ""))
+    elif a.command == "sample":
+        keys = spark.read.format("pmtiles" if a.archive.endswith(".pmtiles") else "mbtiles").load(a.archive)
+        for r in tiling_job.flip_sample(keys, a.most).collect():
+            print(json.dumps(r.asDict()))
     elif a.command == "convert":
         tiling_job.convert(spark, a.raster, a.output, a.min_zoom, a.max_zoom, overwrite=a.overwrite)
     elif a.command == "merge":
         tiling_job.merge_archives(spark, a.inputs, a.output, not a.no_verify, a.overwrite)
     elif a.command == "merge-pixelwise":
-        tiles = tiling_job.merge_pixelwise(spark, a.inputs, a.mode)
-        if a.output.endswith(".pmtiles"):
-            tiling_job.write_pmtiles(tiles, a.output)
-        else:
-            tiling_job.write_mbtiles(tiles, a.output, "merged", overwrite=a.overwrite)
+        tiling_job.merge_pixelwise_to(spark, a.inputs, a.output, a.mode, overwrite=a.overwrite)
     elif a.command == "pack":
         tiling_job.mbtiles_to_pmtiles(spark, a.input, a.output)
     elif a.command == "inspect":
@@ -100,7 +116,9 @@ def run(spark: SparkSession, a: argparse.Namespace) -> None:
         pair = [spark.read.format("pmtiles" if p.endswith(".pmtiles") else "mbtiles").load(p) for p in (a.reference, a.archive)]
         archive.archive_diff(*pair).groupBy("status").count().orderBy("status").show()
     elif a.command == "fill":
-        _fill(spark, a).show(truncate=False)
+        z, x, y = map(int, a.tile.split("/"))
+        told = tiling_job.inspect_fill(spark, a.archive, a.root, a.sources, z, x, y, a.size).orderBy("priority") if a.archive else _fill(spark, a)
+        told.show(truncate=False)
     elif a.command == "subtrees":
         tiling_job.subtree_list(spark, a.root, a.sources, a.output, most=a.max_sources)
     elif a.command == "patterns":
@@ -113,7 +131,9 @@ def run(spark: SparkSession, a: argparse.Namespace) -> None:
         last = rows.groupBy("k").agg({"v": "max"}).withColumnRenamed("max(v)", "size")
         rate.join(last, "k").withColumn("eta_seconds", inspection.eta_seconds(rate["rate"], a.target_bytes - last["size"])).show(truncate=False)
     elif a.command == "digest":
-        files.digests(spark, a.folder, a.glob).orderBy("path").show(1000, truncate=False)
+        print("sha256 length path")
+        for r in files.digests(spark, a.folder, a.glob).orderBy("path").toLocalIterator():
+            print(r.sha256, r.length, r.path)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -14,6 +14,11 @@ PALETTE = {
 }
 
 
+def extra_colour(i: int) -> tuple[int, int, int]:
+    """The colour of a source number that the palette lacks."""
+    return 200 - i % 60, 120 + i * 37 % 120, 100 + i * 23 % 120
+
+
 def vertical_resolution(z: ColumnOrName) -> Column:
     """Metres that an elevation is rounded to: 2**(19 - z) / 256, so 1 m at zoom 11."""
     return F.pow(F.lit(2.0), 19 - _c(z)) / 256

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,18 +37,19 @@ def duplicate_tiles(tiles: DataFrame, file: str = "file", order: str = "src_idx"
 
 
 def union_archives(archives: Sequence[DataFrame], verify: bool = True) -> DataFrame:
-    """All tiles of disjoint archives; with ``verify`` a shared tile is an error, else the last archive wins."""
-    every = None
-    for i, a in enumerate(archives):
-        rows = a.select(*TILE, "tile_data", F.lit(i).alias("src_idx"))
-        every = rows if every is None else every.unionByName(rows)
-    if every is None:
+    """All tiles of disjoint archives; with ``verify`` a shared tile is an error, else the last archive wins.
+
+    Verification shuffles keys alone, and once the archives are known to be disjoint no payload is shuffled.
+    """
+    if not archives:
         raise ValueError("no archives")
-    if verify:
-        shared = every.groupBy(*TILE).agg(F.countDistinct("src_idx").alias("n")).where("n > 1").orderBy(*TILE).limit(3).collect()
-        if shared:
-            raise ValueError("archives overlap, first at " + ", ".join(f"z{r.z}/x{r.x}/y{r.y}" for r in shared))
-    return merge.last_wins(every, ["src_idx"]).drop("src_idx")
+    every = reduce(DataFrame.unionByName, (a.select(*TILE, "tile_data", F.lit(i).alias("src_idx")) for i, a in enumerate(archives)))
+    if not verify:
+        return every.groupBy(*TILE).agg(F.max_by("tile_data", "src_idx").alias("tile_data"))
+    shared = every.groupBy(*TILE).agg(F.countDistinct("src_idx").alias("n")).where("n > 1").orderBy(*TILE).limit(3).collect()
+    if shared:
+        raise ValueError("archives overlap, first at " + ", ".join(f"z{r.z}/x{r.x}/y{r.y}" for r in shared))
+    return every.drop("src_idx")
 
 
 def key_union(archives: Sequence[DataFrame]) -> DataFrame:
@@ -75,6 +77,11 @@ def flip_lookup(keys: DataFrame, archive: DataFrame) -> DataFrame:
     return flipped.join(plain, ["z", "x", "y"], "left").select("z", "x", "y", F.coalesce("_first", "_second").alias("tile_data"))
 
 
+def middle_zoom():
+    """The zoom half way between an archive's lowest and highest, rounded down."""
+    return F.floor((F.col("min_zoom") + F.col("max_zoom")) / 2)
+
+
 def metadata_rows(stats: DataFrame, name: str, extra: dict[str, str] | None = None, encoding: str = "terrarium", image: str = "webp", attribution: str = "") -> DataFrame:
     """An archive's metadata (name, value) from its statistics; ``extra`` overrides. No rows for an empty archive."""
     text = lambda c: F.col(c).cast("string")
@@ -91,7 +98,7 @@ def merged_metadata(metadata: DataFrame) -> DataFrame:
     """One (name, value) set from several archives' (src_idx, name, value).
 
     Attributions are trimmed, made distinct, sorted and joined; all other names come from the first archive that has
-    them. Zooms and bounds are overridden by the caller with those of the merged tiles.
+    them. ``union_metadata`` gives a merged archive's own set.
     """
     trimmed = F.trim("value")
     joined = F.array_join(F.sort_array(F.collect_set(F.when((F.col("name") == "attribution") & (trimmed != ""), trimmed))), " | ")
@@ -99,6 +106,34 @@ def merged_metadata(metadata: DataFrame) -> DataFrame:
     return metadata.groupBy("name").agg(F.when(F.col("name") == "attribution", joined).otherwise(first).alias("value"))
 
 
+# What a merged archive says where its first input says nothing.
+DEFAULTS = {"format": "webp", "encoding": "terrarium", "minzoom": "0", "maxzoom": "0"}
+
+
+def union_metadata(metadata: DataFrame, stats: DataFrame, name: str, attribution: str = "") -> DataFrame:
+    """(name, value) of a merged archive.
+
+    Name, format and encoding are the first input's, else ``name`` and the defaults; the attribution is that of all
+    inputs, else ``attribution``. Zooms and bounds are the tiles', of an archive without tiles the first input's, else
+    zoom 0 and none. The center is the bounds' with the zoom between, and only set where there are tiles.
+    """
+    base = metadata.where("src_idx = 0").groupBy().pivot("name", ["name", "format", "encoding", "minzoom", "maxzoom", "bounds"]).agg(F.first("value"))
+    base = base.select(*(F.col(c).alias(f"_{c}") for c in ("name", "format", "encoding", "minzoom", "maxzoom", "bounds")))
+    told = merged_metadata(metadata.where("name = 'attribution'")).agg(F.max("value").alias("_attribution"))
+    one = stats.join(told).join(base, how="left")  # one row each
+    text = lambda c: F.col(c).cast("string")
+    box = F.concat_ws(",", text("west"), text("south"), text("east"), text("north"))
+    there = F.col("n") > 0
+    values = {
+        "name": F.coalesce("_name", F.lit(name)), "format": F.coalesce("_format", F.lit(DEFAULTS["format"])), "encoding": F.coalesce("_encoding", F.lit(DEFAULTS["encoding"])),
+        "minzoom": F.coalesce(text("min_zoom"), "_minzoom", F.lit(DEFAULTS["minzoom"])), "maxzoom": F.coalesce(text("max_zoom"), "_maxzoom", F.lit(DEFAULTS["maxzoom"])),
+        "attribution": F.coalesce(F.nullif("_attribution", F.lit("")), F.lit(attribution)), "bounds": F.when(there, box).otherwise(F.col("_bounds")),
+        "center": F.when(there, F.concat_ws(",", ((F.col("west") + F.col("east")) / 2).cast("string"), ((F.col("south") + F.col("north")) / 2).cast("string"), middle_zoom().cast("string"))),
+    }
+    rows = one.select(F.explode(F.array(*(F.struct(F.lit(k).alias("name"), v.alias("value")) for k, v in values.items()))).alias("m"))
+    return rows.select("m.name", "m.value").where("value IS NOT NULL")
+
+
 def upsert_metadata(metadata: DataFrame, new: dict[str, object]) -> DataFrame:
     """The rows of ``metadata`` with values replaced or added."""
     spark = metadata.sparkSession

@@ -24,6 +24,17 @@ def fill_report(pixels: DataFrame, upper: str, lower: str, key: tuple[str, ...]
     )
 
 
+def fill_by_source(pixels: DataFrame) -> DataFrame:
+    """Per source (priority, source), from rows with an archive's ``stored`` value, the source's ``elev`` and ``in_first``:
+    see ``inspect_fill`` of the plans."""
+    has, stored = F.col("elev").isNotNull(), F.col("stored").isNotNull()
+    gap, filled = F.when(has & stored, F.abs(F.col("elev") - F.col("stored"))), F.count_if(~has & stored)
+    return pixels.groupBy("priority", "source").agg(
+        F.count("elev").alias("valid_pixels"), filled.alias("filled_pixels"), (F.lit(100.0) * filled / F.count("*")).alias("filled_percent"),
+        F.avg(gap).alias("mean_abs_diff"), F.max(gap).alias("max_abs_diff"), F.count_if(has & F.col("in_first").isNull()).alias("candidates"),
+    )
+
+
 def side_by_side(pixels: DataFrame, key: tuple[str, ...], upper: int = 0, lower: int = 1) -> DataFrame:
     """Long pixels (key, prio, elev) to a row per pixel with the two sources' values."""
     return pixels.groupBy(*key).agg(F.expr(f"max(elev) FILTER (WHERE prio = {upper})").alias("upper"), F.expr(f"max(elev) FILTER (WHERE prio = {lower})").alias("lower"))

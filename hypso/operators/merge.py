@@ -2,13 +2,16 @@
 
 In long form (a row per pixel) every merge is one commutative aggregate, since the order lives in the key that is
 compared and not in arrival: Spark combines map-side and shuffles one row per pixel and task. In array form (a row per
-tile and source) a tile's few candidate grids are folded in order of priority.
+tile and source) each grid is shuffled once, and a tile's few candidates are folded by an Arrow kernel.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,25 +51,54 @@ def encoded(merged: DataFrame, value: str = "elev") -> DataFrame:
     return merged.withColumns(terrarium.encode(value, "z"))
 
 
+def _pixels(column: pa.ChunkedArray) -> Iterator[np.ndarray]:
+    """A column's grids as float32, null as NaN."""
+    for chunk in column.chunks:
+        for v in chunk:
+            yield v.values.to_numpy(zero_copy_only=False).astype(np.float32)
+
+
+def _one(group: pa.Table, px: np.ndarray, value: str, prov: np.ndarray | None = None) -> pa.Table:
+    """A tile's row; none if it has no value."""
+    grid = pa.ListArray.from_arrays(pa.array([0, len(px)], pa.int32()), pa.array(px, mask=np.isnan(px)))
+    columns = {c: group.column(c).slice(0, 1) for c in TILE} | {value: grid}
+    if prov is not None:
+        columns["prov"] = pa.ListArray.from_arrays(pa.array([0, len(prov)], pa.int32()), pa.array(prov))
+    out = pa.table(columns)
+    return out.slice(0, 0) if np.isnan(px).all() else out
+
+
+def _kinds(grids: DataFrame) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in grids.select(*TILE).schema.fields)
+
+
 def merge_grids(grids: DataFrame, order: Sequence[str], value: str = "px", source: str = "prio") -> DataFrame:
     """Array form: (z, x, y, px, prio, ...) to (z, x, y, px, prov), tiles without any value left out.
 
-    A tile's candidates meet in one row; they are as many as sources overlap it, not as many as there are tiles.
+    A tile's candidates meet in one task; they are as many as sources overlap it, not as many as there are tiles.
     """
-    entry = F.struct(*order, F.col(value).alias("_px"), F.col(source).alias("_s"))
-    ranked = grids.groupBy(*TILE).agg(F.sort_array(F.collect_list(entry)).alias("_all"))
-    pairs = F.transform("_all", lambda e: F.transform(e["_px"], lambda v: F.when(v.isNotNull() & ~F.isnan(v), F.struct(v.alias("v"), e["_s"].alias("s")))))
-    first = F.aggregate(pairs, F.get(pairs, F.lit(0)), lambda a, b: F.zip_with(a, b, lambda p, q: F.coalesce(p, q)))
-    folded = ranked.select(*TILE, first.alias("_f"))
-    out = folded.select(*TILE, F.transform("_f", lambda p: p["v"]).alias(value), F.transform("_f", lambda p: F.coalesce(p["s"], F.lit(-1)).cast("smallint")).alias("prov"))
-    return out.where(F.exists(value, lambda v: v.isNotNull()))
+
+    def fold(group: pa.Table) -> pa.Table:
+        group = group.sort_by([(c, "ascending") for c in order])
+        px, prov = None, None
+        for grid, name in zip(_pixels(group.column(value)), group.column(source).to_pylist(), strict=True):
+            if px is None:
+                px, prov = np.full(len(grid), np.nan, np.float32), np.full(len(grid), -1, np.int16)
+            take = np.isnan(px) & ~np.isnan(grid)
+            px[take], prov[take] = grid[take], name
+        return _one(group, px, value, prov)
+
+    rows = grids.select(*dict.fromkeys([*TILE, *order, source, value]))
+    return rows.groupBy(*TILE).applyInArrow(fold, f"{_kinds(grids)}, {value} array<float>, prov array<smallint>")
 
 
 def max_grids(grids: DataFrame, value: str = "px") -> DataFrame:
-    """Array form of ``max_merge``: positions are aggregated as long rows would be, and gathered again."""
-    cells = grids.select(*TILE, F.posexplode(value).alias("i", "v"))
-    best = cells.groupBy(*TILE, "i").agg(F.max("v").alias("v"))
-    return best.groupBy(*TILE).agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "v"))), lambda e: e["v"]).alias(value))
+    """Array form of ``max_merge``; tiles without any value are left out."""
+
+    def fold(group: pa.Table) -> pa.Table:
+        return _one(group, functools.reduce(np.fmax, _pixels(group.column(value))), value)
+
+    return grids.select(*TILE, value).groupBy(*TILE).applyInArrow(fold, f"{_kinds(grids)}, {value} array<float>")
 
 
 def tile_pixels(grids: DataFrame, width: int, value: str = "px") -> DataFrame:

@@ -1,19 +1,22 @@
 """Rasters onto tile grids: bilinear sampling with no-data-aware weights, and image payloads, as Arrow kernels.
 
 A (tile, raster) pair's grid depends on nothing else, so pairs are spread freely; those of one raster and one block of
-tiles are sampled together, so that the raster is parsed once for all of them.
+tiles are sampled together. Rasters never travel: a task opens them where they are and reads the header and the strips
+or tiles that its pairs' windows touch.
 """
 
 from __future__ import annotations
 
+import struct
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.terrarium import PALETTE, extra_colour
 from ..functions.tilemath import HALF
 from ..schema import EARTH_CIRCUMFERENCE_M, TILE_SIZE
 from ..sources import codec, geotiff
@@ -47,54 +50,84 @@ def bilinear(band: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray
     return out
 
 
-def sample(band: np.ndarray, h: geotiff.Header, z: int, x: int, y: int, size: int = TILE_SIZE) -> np.ndarray:
-    """A raster's values at the pixel centres of a tile."""
-    side = EARTH_CIRCUMFERENCE_M / (1 << z)
-    mx = x * side - HALF + (np.arange(size) + 0.5) * side / size
-    my = HALF - y * side - (np.arange(size) + 0.5) * side / size
-    if h.crs != 3857:  # degrees: both axes are separable, so a tile's grid stays a grid
-        mx, my = mx / HALF * 180, np.degrees(np.arctan(np.sinh(my / HALF * np.pi)))
-    return bilinear(band, (h.top - my) / h.step_y - 0.5, (mx - h.left) / h.step_x - 0.5)
+def scattered(band: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """As ``bilinear``, at a grid of places that isn't a raster's rows and columns."""
+    h, w = band.shape
+    out = np.full(rows.shape, np.nan)
+    ok = (rows >= -0.5) & (rows <= h - 0.5) & (cols >= -0.5) & (cols <= w - 0.5)
+    r, c = np.clip(rows[ok], 0, h - 1), np.clip(cols[ok], 0, w - 1)
+    r0, c0 = np.floor(r).astype(int), np.floor(c).astype(int)
+    r1, c1 = np.minimum(r0 + 1, h - 1), np.minimum(c0 + 1, w - 1)
+    total, weight = np.zeros(len(r)), np.zeros(len(r))
+    for ri, wr in ((r0, 1 - (r - r0)), (r1, r - r0)):
+        for ci, wc in ((c0, 1 - (c - c0)), (c1, c - c0)):
+            v = band[ri, ci]
+            there = ~np.isnan(v)
+            total += np.where(there, v, 0) * wr * wc
+            weight += there * wr * wc
+    nearest = band[np.rint(r).astype(int), np.rint(c).astype(int)]
+    with np.errstate(invalid="ignore", divide="ignore"):
+        out[ok] = np.where((weight > 0) & ~np.isnan(nearest), total / weight, np.nan)
+    return out
 
 
-def read_tiles(pairs: DataFrame, size: int = TILE_SIZE, contents: DataFrame | None = None) -> DataFrame:
+def sample(source: geotiff.Raster, z: int, x: int, y: int, size: int = TILE_SIZE) -> np.ndarray:
+    """A raster's values at the pixel centres of a tile; only the window that they need is read."""
+    side, h = EARTH_CIRCUMFERENCE_M / (1 << z), source.h
+    mx = x * side - HALF + (np.arange(size) + 0.5) * side / size
+    my = HALF - y * side - (np.arange(size) + 0.5) * side / size
+    rows, cols = h.place(mx, my)
+    in_r, in_c = rows[(rows >= -0.5) & (rows <= h.height - 0.5)], cols[(cols >= -0.5) & (cols <= h.width - 0.5)]
+    if not len(in_r) or not len(in_c):
+        return np.full((size, size), np.nan)
+    row0, row1 = max(0, int(in_r.min()) - 1), min(h.height, int(in_r.max()) + 3)
+    col0, col1 = max(0, int(in_c.min()) - 1), min(h.width, int(in_c.max()) + 3)
+    part = source.window(row0, row1, col0, col1)
+    # Outside the window, but for the raster's own edge, no place is asked for.
+    edge = lambda v, first, last, all_: np.where((v < first - 0.5) | (v > last - 0.5) | (v < -0.5) | (v > all_ - 0.5), -9.0, v - first)
+    rows, cols = edge(rows, row0, row1, h.height), edge(cols, col0, col1, h.width)
+    return bilinear(part, rows, cols) if rows.ndim == 1 else scattered(part, rows, cols)
+
+
+def read_tiles(pairs: DataFrame, size: int = TILE_SIZE) -> DataFrame:
     """(z, x, y, path, ...) to the same rows with ``px``, the raster's values on the tile, null where it has none.
 
-    Rasters come through Spark's binary reader, so any file system will do. Pairs of unreadable rasters, and grids
-    without any value, are left out.
+    Pairs of rasters that can't be read, and grids without any value, are left out. A unit of work is a raster and a
+    block of 16 x 16 tiles, so a huge raster is sampled by many tasks and a strip is decoded once for its block.
     """
-    spark = pairs.sparkSession
-    if contents is None:
-        folders = [r[0] for r in pairs.select(F.regexp_replace("path", r"/[^/]+$", "").alias("f")).distinct().collect()]  # as many as sources
-        contents = spark.read.format("binaryFile").option("pathGlobFilter", "*.tif").load(folders).select("path", "content")
-    others = [f for f in pairs.schema.fields]
-    name = F.regexp_replace("path", r"^file:/*", "/")
-    # A unit of work is a raster and a block of 16 x 16 tiles, so a huge raster is sampled by many tasks.
-    block = [F.call_function("shiftright", F.col(c), F.lit(4)).alias(f"_{c}") for c in ("x", "y")]
-    listed = pairs.groupBy(name.alias("_p"), "z", *block).agg(F.collect_list(F.struct(*pairs.columns)).alias("_pairs"))
-    both = contents.select(name.alias("_p"), "content").join(listed.select("_p", "_pairs"), "_p").select("content", "_pairs")
+    block = [F.call_function("shiftright", F.col(c), F.lit(4)) for c in ("x", "y")]
+    dealt = pairs.repartition("path", "z", *block).sortWithinPartitions("path", "z", *block, "y", "x")
+    names = pairs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path, source, close = None, None, lambda: None
         for batch in batches:
-            for content, rows in zip(batch.column(0), batch.column(1), strict=True):
+            z, x, y, paths = (batch.column(names.index(c)).to_pylist() for c in ("z", "x", "y", "path"))
+            for k in range(len(batch)):
+                if paths[k] != path:
+                    close()
+                    path, source, close = paths[k], None, lambda: None
+                    try:
+                        read, close = geotiff.ranges(path)
+                        source = geotiff.Raster(read, geotiff.header(read))
+                    except (OSError, ValueError, KeyError, IndexError, struct.error):
+                        continue
+                if source is None:
+                    continue
                 try:
-                    data = content.as_py()
-                    h = geotiff.header(data)
-                    band = geotiff.band(data, h)
-                except (ValueError, KeyError, IndexError):
+                    grid = sample(source, z[k], x[k], y[k], size)
+                except (OSError, ValueError, KeyError, IndexError, struct.error, zlib.error):
                     continue
-                own = pa.RecordBatch.from_struct_array(rows.values)
-                for k in range(len(own)):
-                    one = own.slice(k, 1)
-                    grid = sample(band, h, *(one.column(c)[0].as_py() for c in ("z", "x", "y")), size)
-                    if np.isnan(grid).all():
-                        continue
-                    flat = grid.astype(np.float32).ravel()
-                    px = pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), pa.array(flat, mask=np.isnan(flat)))
-                    yield pa.RecordBatch.from_arrays([*one.columns, px], [*one.schema.names, "px"])
+                if np.isnan(grid).all():
+                    continue
+                flat = grid.astype(np.float32).ravel()
+                one = batch.slice(k, 1)
+                px = pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), pa.array(flat, mask=np.isnan(flat)))
+                yield pa.RecordBatch.from_arrays([*one.columns, px], [*one.schema.names, "px"])
+        close()
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in others)
-    return both.mapInArrow(run, f"{fields}, px array<float>")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pairs.schema.fields)
+    return dealt.mapInArrow(run, f"{fields}, px array<float>")
 
 
 def terrarium_rgb(px: np.ndarray, z: int) -> np.ndarray:
@@ -146,21 +179,22 @@ def decode_tiles(tiles: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 def lineage_tiles(merged: DataFrame, palette: dict[int, tuple[int, int, int]] | None = None, image: str | None = None) -> DataFrame:
     """(z, x, y, prov) to images in the palette's colours."""
-    from ..functions.terrarium import PALETTE
-
     colours = PALETTE if palette is None else palette
 
     def colour(i: int) -> tuple[int, int, int]:
-        return colours.get(i, (200 - i % 60, 120 + i * 37 % 120, 100 + i * 23 % 120))
+        return colours.get(i, extra_colour(i))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data = []
-            for prov in batch["prov"]:
-                x = np.asarray(prov, np.int64)
-                side = round(len(x) ** 0.5)
-                own, at = np.unique(x, return_inverse=True)
-                data.append(codec.encode(np.array([colour(int(i)) for i in own], np.uint8)[at].reshape(side, side, 3), image=image))
-            yield batch[["z", "x", "y"]].assign(tile_data=data)
-
-    return merged.select("z", "x", "y", "prov").mapInPandas(run, "z int, x int, y int, tile_data binary")
+            data = [codec.encode(lineage_image(prov, colour), image=image) for prov in _grids(batch.column(3))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(data, pa.binary())], ["z", "x", "y", "tile_data"])
+
+    return merged.select("z", "x", "y", "prov").mapInArrow(run, "z int, x int, y int, tile_data binary")
+
+
+def lineage_image(prov: np.ndarray, colour) -> np.ndarray:
+    """A square grid of source numbers in their colours."""
+    x = np.asarray(prov, np.int64)
+    side = round(len(x) ** 0.5)
+    own, at = np.unique(x, return_inverse=True)
+    return np.array([colour(int(i)) for i in own], np.uint8)[at].reshape(side, side, 3)

@@ -1,8 +1,8 @@
 """Tiles of a box, and the join of tiles with the raster footprints that overlap them.
 
 A plain overlap condition would be a nested-loop join. Instead, each footprint is listed under the coarse cells
-(zoom 5, or the tile's own zoom where that is lower) that it touches, tiles look up their own cell, and the exact
-overlap test is a residual of an equi-join. Footprints are broadcast only below a checked row count; beyond it both
+(as fine as the footprints are small, or the tile's own zoom where that is lower) that it touches, tiles look up their
+own cell, and the exact overlap test is a residual of an equi-join. Footprints are broadcast only below a checked row count; beyond it both
 sides are shuffled by cell, where adaptive execution splits crowded cells.
 """
 
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import tilemath as M
-from ..schema import BUCKET_ZOOM
+from ..schema import BUCKET_ZOOM, EARTH_CIRCUMFERENCE_M
 
 BROADCAST_ROWS = 200_000
 
@@ -69,11 +69,23 @@ def _cells(footprints: DataFrame, bucket: int) -> DataFrame:
     return rows.drop("_x0", "_x1", "_y0", "_y1")
 
 
-def overlap_join(tiles: DataFrame, footprints: DataFrame, bucket: int = BUCKET_ZOOM, how: str = "inner", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def bucket_zoom(footprints: DataFrame, least: int = BUCKET_ZOOM, most: int = 14, cells: int = 6) -> int:
+    """The finest zoom at which footprints touch about ``cells`` cells each, on average, or fewer: a cell then holds a few
+    footprints' neighbours, where cells of one zoom for all data would hold a country's."""
+    spans = {}
+    for z in range(least, most + 1):
+        side = EARTH_CIRCUMFERENCE_M / (1 << z)
+        spans[z] = F.avg(((F.col("right") - F.col("left")) / side + 1) * ((F.col("top") - F.col("bottom")) / side + 1)).alias(f"z{z}")
+    told = footprints.agg(*spans.values()).first()
+    return max([z for z in spans if told[f"z{z}"] is not None and told[f"z{z}"] <= cells], default=least)
+
+
+def overlap_join(tiles: DataFrame, footprints: DataFrame, bucket: int | None = None, how: str = "inner", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Each tile with the footprints that share inner points with it.
 
     ``footprints`` has left, bottom, right, top in metres; tiles that nothing overlaps vanish in an inner join.
     """
+    bucket = bucket_zoom(footprints) if bucket is None else bucket
     cells = _cells(footprints, bucket)
     if footprints.limit(broadcast_rows + 1).count() <= broadcast_rows:
         cells = F.broadcast(cells)
@@ -86,6 +98,16 @@ def overlap_join(tiles: DataFrame, footprints: DataFrame, bucket: int = BUCKET_Z
     return probe.join(cells, on, how).drop("_l", "_x", "_y", "_tl", "_tb", "_tr", "_tt")
 
 
+def overlap_either(tiles: DataFrame, footprints: DataFrame) -> DataFrame:
+    """Each tile with the footprints that overlap it or its mirror image (rows counted from the other pole), with
+    ``mirrored`` false where the tile itself is overlapped, which is preferred."""
+    own = overlap_join(tiles, footprints).withColumn("mirrored", F.lit(False))
+    there = overlap_join(tiles.withColumn("y", M.flip_y("z", "y")), footprints).withColumn("y", M.flip_y("z", "y")).withColumn("mirrored", F.lit(True))
+    key = [*tiles.columns, *footprints.columns]
+    both = own.select(*key, "mirrored").unionByName(there.select(*key, "mirrored"))
+    return both.groupBy(*key).agg(F.min("mirrored").alias("mirrored"))
+
+
 def clipped_extent(footprints: DataFrame, bbox: tuple[float, float, float, float]) -> tuple[float, float, float, float]:
     """The part of a box of degrees that the footprints' joint extent covers, as degrees; an error if there is none."""
     u = union_bounds(footprints)

@@ -8,20 +8,20 @@ any engine repeats exactly.
 from __future__ import annotations
 
 import os
-import tempfile
 from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import folders
 from .functions import register as sql_functions
 from .functions import terrarium
 from .functions import tilemath as M
 from .operators import archive, inspection, merge, raster, tiling
 from .plans import tiling_job, zoom_split
 from .schema import EARTH_CIRCUMFERENCE_M, JAPAN
-from .sources import geotiff
+from .sources import catalog, geotiff
 from .streaming import telemetry
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,9 +103,11 @@ def priority_merge_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.encoded(merged_pixels(spark, sf_dir))
 
 
-@query(_MERGED + """ SELECT z, x, y, "row", "col", prov, CASE prov WHEN -1 THEN 255 WHEN 0 THEN 0 WHEN 1 THEN 50 WHEN 2 THEN 152 WHEN 3 THEN 34 WHEN 4 THEN 60 WHEN 5 THEN 144 WHEN 6 THEN 193 END AS r,
-  CASE prov WHEN -1 THEN 255 WHEN 0 THEN 100 WHEN 1 THEN 205 WHEN 2 THEN 251 WHEN 3 THEN 139 WHEN 4 THEN 179 WHEN 5 THEN 238 WHEN 6 THEN 255 END AS g,
-  CASE prov WHEN -1 THEN 255 WHEN 0 THEN 0 WHEN 1 THEN 50 WHEN 2 THEN 152 WHEN 3 THEN 34 WHEN 4 THEN 113 WHEN 5 THEN 144 WHEN 6 THEN 193 END AS b FROM m""")
+def _channel(k: int) -> str:
+    return "CASE prov " + " ".join(f"WHEN {i} THEN {rgb[k]}" for i, rgb in terrarium.PALETTE.items()) + " END"
+
+
+@query(_MERGED + f' SELECT z, x, y, "row", "col", prov, {_channel(0)} AS r, {_channel(1)} AS g, {_channel(2)} AS b FROM m')
 def lineage_palette(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = merged_pixels(spark, sf_dir).withColumn("c", terrarium.palette_colour("prov"))
     return rows.select(*KEY, "prov", "c.r", "c.g", "c.b")
@@ -453,11 +455,12 @@ def telemetry_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = f"{sf_dir}/events.parquet"
     schema = spark.read.parquet(at).schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir).selectExpr("timestamp_seconds(timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', cast(ts AS timestamp_ntz))) AS at", "event_type AS event", "cast(floor(value) AS bigint) AS wal_bytes")
-    name = f"telemetry_{os.urandom(4).hex()}"
-    run = telemetry.windowed_progress(stream, "1 hour").writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start()
-    run.awaitTermination()
-    out = spark.table(name)
-    return out.select(F.unix_seconds("start").alias("start"), "event", "n", "low", "high")
+    at = folders.shared(spark, "telemetry")
+    windows = telemetry.windowed_progress(stream, "1 hour").select(F.unix_seconds("start").alias("start"), "event", "n", "low", "high")
+    # Each batch's windows replace the former's table, so the result stays on the executors, and a replayed batch does no harm.
+    run = windows.writeStream.outputMode("complete").foreachBatch(lambda batch, i: batch.write.mode("overwrite").parquet(f"{at}/windows"))
+    run.option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(windows.schema).parquet(f"{at}/windows")
 
 
 _PATTERNS = "(VALUES " + ", ".join(f"('{p}', {i}, {g[0]}, {g[1]}, {g[2]}::BIGINT, {g[3]}::DOUBLE)" for p, gs in zoom_split.PATTERNS.items() for i, g in enumerate(gs)) + ") AS t(pattern, ord, min_zoom, max_zoom, estimated_tiles, estimated_memory_gb)"
@@ -520,45 +523,87 @@ def bounds_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("fid", "bounds", parts[0].cast("double").alias("w"), parts[3].cast("double").alias("n"))
 
 
-@query(f"""WITH {ARCH} SELECT DISTINCT z, x, y, ((1::BIGINT << z) - 1 - y)::INT AS tms_y, 2::DOUBLE ^ (19 - z) / 256 AS metres, x >> (z - 6) AS px FROM arch""")
+_CALLS = {
+    "tms_y": "tile_flip_y(z, y)", "metres": "vertical_resolution(z)", "px": "tile_parent(x, z, 6)", "best": "recommended_max_zoom(100 * (1 + x % 7))", "col": "lon_to_tile_x(x / 8D, z)", "line": "lat_to_tile_y(y / 8D, z)",
+    "o": "terrarium_offset(x / 2D, z)", "r": "terrarium_r(x / 2D, z)", "g": "terrarium_g(x / 2D, z)", "b": "terrarium_b(x / 2D, z)", "back": "terrarium_decode(x % 256, y % 256, z)",
+    "west": "round(tile_bounds(z, x, y).w, 7)", "north": "round(tile_bounds(z, x, y).n, 7)", "left": "round(tile_mercator_bounds(z, x, y).l, 4)", "top": "round(tile_mercator_bounds(z, x, y).t, 4)", "id": "tile_id(z, x, y)",
+}
+
+
+@query(f"""WITH RECURSIVE {ARCH}, k AS (SELECT DISTINCT z, x, y FROM arch), h AS (SELECT z, x, y, x::BIGINT AS cx, y::BIGINT AS cy, z - 1 AS a, ((1::BIGINT << (2 * z)) - 1) // 3 AS d FROM k
+  UNION ALL SELECT z, x, y, CASE WHEN (cy >> a) & 1 = 1 THEN cx & ((1::BIGINT << a) - 1) WHEN (cx >> a) & 1 = 1 THEN (1::BIGINT << a) - 1 - (cy & ((1::BIGINT << a) - 1)) ELSE cy & ((1::BIGINT << a) - 1) END,
+  CASE WHEN (cy >> a) & 1 = 1 THEN cy & ((1::BIGINT << a) - 1) WHEN (cx >> a) & 1 = 1 THEN (1::BIGINT << a) - 1 - (cx & ((1::BIGINT << a) - 1)) ELSE cx & ((1::BIGINT << a) - 1) END, a - 1,
+  d + (xor(3 * ((cx >> a) & 1), (cy >> a) & 1) << (2 * a)) FROM h WHERE a >= 0),
+  f AS (SELECT *, round_even(x / 2.0::DOUBLE / (2::DOUBLE ^ (19 - z) / 256), 0) * (2::DOUBLE ^ (19 - z) / 256) + 32768 AS o FROM h WHERE a = -1)
+  SELECT z, x, y, ((1::BIGINT << z) - 1 - y)::INT AS tms_y, 2::DOUBLE ^ (19 - z) / 256 AS metres, x >> (z - 6) AS px, least(17, greatest(0, ceil(log2({CE} / 512 / (100 * (1 + x % 7))))))::INT AS best,
+  least((1::BIGINT << z) - 1, greatest(0, floor((x / 8.0::DOUBLE / 360 + 0.5::DOUBLE + 1e-14::DOUBLE) * (1::BIGINT << z))))::INT AS col,
+  least((1::BIGINT << z) - 1, greatest(0, {_lat_row("least(85.0511287798066::DOUBLE, y / 8.0::DOUBLE)", "z")}))::INT AS line, o,
+  least(255, greatest(0, floor(o / 256)))::INT AS r, floor(o - 256 * floor(o / 256))::INT AS g, floor((o - floor(o)) * 256)::INT AS b, (x % 256) * 256.0::DOUBLE + y % 256 + z / 256.0::DOUBLE - 32768 AS back,
+  round(x / (1::BIGINT << z)::DOUBLE * 360 - 180, 7) AS west, round({_lat_sql("y")}, 7) AS north, round(x * ({CE} / (1::BIGINT << z)) - {HALF}, 4) AS "left", round({HALF} - y * ({CE} / (1::BIGINT << z)), 4) AS top, d AS id FROM f""")
 def sql_function_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The registered SQL functions, in SQL."""
+    """The registered scalar SQL functions, in SQL."""
     sql_functions.register(spark)
-    return spark.sql("SELECT DISTINCT z, x, y, tile_flip_y(z, y) AS tms_y, vertical_resolution(z) AS metres, tile_parent(x, z, 6) AS px FROM {arch}", arch=archive_rows(spark, sf_dir))
+    calls = ", ".join(f"{call} AS {name}" for name, call in _CALLS.items())
+    return spark.sql(f"SELECT z, x, y, {calls} FROM (SELECT DISTINCT z, x, y FROM {{arch}})", arch=archive_rows(spark, sf_dir))
 
 
-def _folder() -> str:
-    return tempfile.mkdtemp(prefix="hypso-")
+@query(f"WITH {GRID}, p AS (SELECT z, x, y, vec_id, unnest(embedding)::DOUBLE AS elev, generate_subscripts(embedding, 1) - 1 AS i FROM grid) SELECT vec_id, (i // 8)::INT AS \"row\", (i % 8)::INT AS \"col\", elev, 1200::BIGINT AS covered FROM p")
+def sql_table_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registered table functions, in SQL: a grid's pixels, and the number of a box's tiles."""
+    sql_functions.register(spark)
+    covered = "(SELECT count(*) FROM tile_cover(122D, 24D, 154D, 46D, 8)) + 1200 - (SELECT count(*) FROM {tiles} WHERE z = 8)"
+    return spark.sql(
+        f"SELECT vec_id, p.row, p.col, p.elev, {covered} AS covered FROM (SELECT vec_id, transform(embedding, v -> double(v)) AS px FROM {{grids}}) g, LATERAL tile_pixels(g.px, 8) p",
+        grids=_table(spark, sf_dir, "embeddings"), tiles=tiling.tile_cover(spark, JAPAN, 8, 8),
+    )
 
 
-@query(f"WITH {GRID} SELECT z, x, y, count(*) AS n FROM (SELECT DISTINCT z, x, y FROM grid) GROUP BY ALL")
+_PIXELS = f"""WITH {GRID}, p AS (SELECT z, x, y, prio, vec_id, unnest(embedding) AS v, generate_subscripts(embedding, 1) - 1 AS i FROM grid), q AS (SELECT z, x, y, prio, vec_id, i, CASE WHEN abs(v) < 0.05::DOUBLE THEN NULL ELSE v::DOUBLE * 4096 END AS v FROM p),
+  m AS (SELECT z, x, y, i, first(v ORDER BY prio, vec_id) FILTER (WHERE v IS NOT NULL) AS v FROM q GROUP BY z, x, y, i)
+  SELECT z, x, y, i::INT AS i, round_even(coalesce(v, 0) / 8, 0) * 8 AS elev FROM m"""
+
+
+def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merged grids as images; their values span some thousand metres, in steps of 8 at zoom 8."""
+    rows = grids(spark, sf_dir).withColumn("px", F.transform("px", lambda v: (v * 4096).cast("float")))
+    return raster.encode_tiles(merge.merge_grids(rows, ["prio", "vec_id"]))
+
+
+def _decoded(tiles: DataFrame) -> DataFrame:
+    """Every pixel of the payloads."""
+    return raster.decode_tiles(tiles).select("z", "x", "y", F.posexplode("px").alias("i", "elev")).withColumn("elev", F.col("elev").cast("double"))
+
+
+@query(_PIXELS)
 def mbtiles_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Merged grids encoded, written as MBTiles and read again."""
-    at = f"{_folder()}/tiles.mbtiles"
-    tiles = raster.encode_tiles(merge.merge_grids(grids(spark, sf_dir), ["prio", "vec_id"]))
-    tiling_job.write_mbtiles(tiles, at, "grids")
-    return spark.read.format("mbtiles").load(at).where("length(tile_data) > 0").groupBy("z", "x", "y").agg(F.count("*").alias("n"))
+    """Merged grids encoded, written as MBTiles, read again and decoded."""
+    at = f"{folders.local(spark, 'tiles')}/tiles.mbtiles"
+    tiling_job.write_mbtiles(_payloads(spark, sf_dir), at, "grids")
+    return _decoded(spark.read.format("mbtiles").load(at))
 
 
-@query(f"WITH {GRID} SELECT z, x, y, count(*) AS n FROM (SELECT DISTINCT z, x, y FROM grid) GROUP BY ALL")
+@query(_PIXELS)
 def pmtiles_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = f"{_folder()}/tiles.pmtiles"
-    tiles = raster.encode_tiles(merge.merge_grids(grids(spark, sf_dir), ["prio", "vec_id"]))
-    tiling_job.write_pmtiles(tiles, at, {"name": "grids", "minzoom": "8"})
-    return spark.read.format("pmtiles").load(at).where("length(tile_data) > 0").groupBy("z", "x", "y").agg(F.count("*").alias("n"))
+    at = f"{folders.local(spark, 'tiles')}/tiles.pmtiles"
+    tiling_job.write_pmtiles(_payloads(spark, sf_dir), at, {"name": "grids", "minzoom": "8"})
+    return _decoded(spark.read.format("pmtiles").load(at))
 
 
-@query()
+@query(_PIXELS)
 def codec_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Grids encoded to images and decoded again."""
-    merged = merge.merge_grids(grids(spark, sf_dir), ["prio", "vec_id"])
-    return raster.decode_tiles(raster.encode_tiles(merged)).select("z", "x", "y", F.posexplode("px").alias("i", "elev"))
+    return _decoded(_payloads(spark, sf_dir))
 
 
-@query()
+@query(f"""WITH c AS (SELECT z, {_SIDE} AS side FROM (SELECT unnest([8, 9])::INT AS z)), t AS (SELECT z, side, unnest(range(floor((15500000 + {HALF}) / side)::INT, floor((15532000 + {HALF}) / side)::INT + 1))::INT AS x FROM c),
+  u AS (SELECT z, side, x, unnest(range(floor(({HALF} - 4260000) / side)::INT, floor(({HALF} - 4228000) / side)::INT + 1))::INT AS y FROM t), p AS (SELECT *, unnest(range(0, 1024)) AS i FROM u),
+  g AS (SELECT z, x, y, (4260000 - ({HALF} - y * side - (i // 32 + 0.5) * side / 32)) / 500 - 0.5 AS r, (x * side - {HALF} + (i % 32 + 0.5) * side / 32 - 15500000) / 500 - 0.5 AS c FROM p),
+  v AS (SELECT z, x, y, CASE WHEN r < -0.5 OR r > 63.5 OR c < -0.5 OR c > 63.5 THEN -1 WHEN round_even(least(63, greatest(0, r)), 0) BETWEEN 20 AND 39 AND round_even(least(63, greatest(0, c)), 0) BETWEEN 20 AND 39 THEN 1 ELSE 0 END AS prov FROM g),
+  k AS (SELECT z, x, y FROM v GROUP BY ALL HAVING max(prov) >= 0)
+  SELECT z, x, y, prov, count(*) AS n FROM v SEMI JOIN k USING (z, x, y) GROUP BY ALL""")
 def raster_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two small GeoTIFFs, the better with a hole, through catalogue, join, sampling and merge."""
-    root = _folder()
+    root = folders.local(spark, "rasters")
     cols, rows = np.meshgrid(np.arange(64.0), np.arange(64.0))
     for name, base, hole in (("fine", 100.0, True), ("coarse", 500.0, False)):
         os.makedirs(f"{root}/{name}")
@@ -566,14 +611,31 @@ def raster_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
         if hole:
             grid[20:40, 20:40] = -9999
         geotiff.write(f"{root}/{name}/a.tif", grid, 15_500_000.0, 4_260_000.0, 500.0, nodata=-9999)
-        from .sources import catalog
-
         catalog.write_bounds(catalog.scan_rasters(spark, f"{root}/{name}"), f"{root}/{name}/bounds.csv")
-    from .sources import catalog
-
     records = catalog.records(spark, root, ["fine", "coarse"])
     merged = tiling_job.merged_tiles(records, 8, 9, size=32)
-    return merged.select("z", "x", "y", F.posexplode("prov").alias("i", "prov")).groupBy("z", "x", "y", "prov").agg(F.count("*").alias("n"))
+    return merged.select("z", "x", "y", F.posexplode("prov").alias("i", "prov")).groupBy("z", "x", "y", F.col("prov").cast("int").alias("prov")).agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH {_TILES}, {FOOT}, o AS (SELECT z, x, y, fid FROM tiles JOIN foot ON {_OVERLAP}),
+  m AS (SELECT z, x, ((1::BIGINT << z) - 1 - y)::INT AS y, fid FROM (SELECT t.z, t.x, ((1::BIGINT << z) - 1 - t.y)::INT AS y FROM tiles t) JOIN foot ON {_OVERLAP})
+  SELECT z, x, y, fid, min(mirrored) = 1 AS mirrored FROM (SELECT *, 0 AS mirrored FROM o UNION ALL SELECT *, 1 AS mirrored FROM m) GROUP BY z, x, y, fid""")
+def overlap_either(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Footprints that overlap a tile or its mirror image, the tile itself preferred."""
+    return tiling.overlap_either(_tiles(spark), footprints(spark, sf_dir).select("fid", "left", "bottom", "right", "top")).select("z", "x", "y", "fid", "mirrored")
+
+
+@query("""WITH m AS (SELECT c_custkey % 5 AS src_idx, c_custkey AS k, ['name', 'attribution', 'format', 'minzoom', 'bounds'][1 + c_custkey % 5 % 5] AS name, c_mktsegment AS value FROM customer WHERE c_custkey <= 40),
+  n AS (SELECT src_idx, name, min(value) AS value FROM m GROUP BY ALL)
+  SELECT 'name' AS name, coalesce((SELECT value FROM n WHERE src_idx = 0 AND name = 'name'), 'merged') AS value UNION ALL SELECT 'format', 'webp' UNION ALL SELECT 'encoding', 'terrarium' UNION ALL
+  SELECT 'minzoom', '3' UNION ALL SELECT 'maxzoom', '6' UNION ALL SELECT 'attribution', (SELECT string_agg(DISTINCT trim(value), ' | ' ORDER BY trim(value)) FROM n WHERE name = 'attribution') UNION ALL
+  SELECT 'bounds', '1.5,2.5,3.5,4.5' UNION ALL SELECT 'center', '2.5,3.5,4'""")
+def union_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A merged archive's metadata: base from the first input, attributions joined, zooms and bounds of the tiles."""
+    rows = _table(spark, sf_dir, "customer").where("c_custkey <= 40").selectExpr("c_custkey % 5 AS src_idx", "element_at(array('name', 'attribution', 'format', 'minzoom', 'bounds'), int(1 + c_custkey % 5 % 5)) AS name", "c_mktsegment AS value")
+    rows = rows.groupBy("src_idx", "name").agg(F.min("value").alias("value"))
+    stats = spark.range(1).selectExpr("1L AS n", "3 AS min_zoom", "6 AS max_zoom", "1.5D AS west", "2.5D AS south", "3.5D AS east", "4.5D AS north")
+    return archive.union_metadata(rows, stats, "merged")
 
 
 def queries() -> dict[str, Query]:

@@ -9,6 +9,8 @@ MAX_ZOOM = 17
 BUCKET_ZOOM = 5
 SUBTREE_ZOOM = 6
 JAPAN = (122.0, 24.0, 154.0, 46.0)
+# Fixed value: whose elevations the archives hold, unless told otherwise.
+ATTRIBUTION = "国土地理院 (GSI Japan)"
 
 BOUNDS_CSV = T.StructType(
     [T.StructField("filename", T.StringType())]

@@ -6,7 +6,8 @@ import os
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,27 +33,35 @@ def source_names(spark: SparkSession, root: str) -> DataFrame:
     return files.select(F.regexp_extract(inside, r"^([^/]+)/", 1).alias("source")).where("source <> ''").distinct()
 
 
-def scan_rasters(spark: SparkSession, folder: str) -> DataFrame:
-    """Bounds in Mercator metres and size of every raster, and ``error`` where a header can't be used."""
+def scan_rasters(spark: SparkSession, folder: str, glob: str = "*.tif") -> DataFrame:
+    """Bounds in Mercator metres and size of every raster, and ``error`` where a header can't be used.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    Files are listed by Spark and their headers read by ranges, a few kB a raster whatever its size.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for path, content in zip(batch["path"], batch["content"], strict=True):
+            for path in batch.column(0).to_pylist():
                 name = os.path.basename(path)
                 try:
-                    h = geotiff.header(bytes(content))
+                    read, close = geotiff.ranges(path)
+                    try:
+                        h = geotiff.header(read)
+                    finally:
+                        close()
                     box = h.mercator_bounds()
-                    if not all(map(pd.notna, box)) or any(abs(v) == float("inf") for v in box):
+                    if not np.isfinite(box).all():
                         raise ValueError("bounds are not finite")
                     rows.append((name, *box, h.width, h.height, path, None))
                 except Exception as e:  # any unreadable file is reported and passed over, as a row
                     rows.append((name, None, None, None, None, None, None, path, f"{type(e).__name__}: {e}"))
-            out = pd.DataFrame(rows, columns=[*NEEDED, "path", "error"])
-            yield out.astype({"width": "Int32", "height": "Int32"})
+            kinds = (pa.string(), *[pa.float64()] * 4, *[pa.int32()] * 2, pa.string(), pa.string())
+            columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [*NEEDED, "path", "error"])
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tif").load(folder).select("path", "content")
-    return files.mapInPandas(run, "filename string, left double, bottom double, right double, top double, width int, height int, path string, error string")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder).select("path")
+    return files.mapInArrow(run, "filename string, left double, bottom double, right double, top double, width int, height int, path string, error string")
 
 
 def write_bounds(scanned: DataFrame, path: str) -> None:

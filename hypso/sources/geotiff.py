@@ -1,22 +1,27 @@
-"""Single-band GeoTIFF elevation rasters, read with NumPy and zlib by the public TIFF 6 and GeoTIFF specifications.
+"""GeoTIFF elevation rasters, read with NumPy and zlib by the public TIFF 6, BigTIFF and GeoTIFF specifications.
 
-Supported: classic TIFF of either byte order, strips or tiles, 8 to 64-bit integers and 32 or 64-bit floats, no
-compression, Deflate, LZW or PackBits, horizontal and floating-point predictors. CRS 3857 and 4326 (and 6668, whose degrees
-agree with 4326 to well below a pixel); others raise ValueError.
+Only what is asked for is read: the directories for a header, and of the pixels the strips or tiles that a window
+touches, by ranges of the file. Supported: classic and BigTIFF of either byte order, strips or tiles, 8 to 64-bit
+integers and 32 or 64-bit floats, the first of several bands, no compression, Deflate, LZW or PackBits, horizontal and
+floating-point predictors, internal masks. CRS: 3857, degrees (4326 and frames that agree with it to well below a pixel)
+and transverse Mercator by code (UTM zones, Japan's plane-rectangular zones); others raise ValueError.
 """
 
 from __future__ import annotations
 
+import math
 import struct
 import zlib
-from dataclasses import dataclass
+from collections import OrderedDict
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
 import numpy as np
 
 from ..functions.tilemath import HALF
 
 # TIFF field types' sizes and codes, and tags.
-_TYPES = {1: "B", 2: "s", 3: "H", 4: "I", 6: "b", 8: "h", 9: "i", 11: "f", 12: "d", 16: "Q", 5: "II", 10: "ii"}
+_TYPES = {1: "B", 2: "s", 3: "H", 4: "I", 6: "b", 8: "h", 9: "i", 11: "f", 12: "d", 16: "Q", 17: "q", 18: "Q", 5: "II", 10: "ii"}
 WIDTH, HEIGHT, BITS, COMPRESSION, OFFSETS, SAMPLES, ROWS, COUNTS, PREDICTOR = 256, 257, 258, 259, 273, 277, 278, 279, 317
 TILE_WIDTH, TILE_HEIGHT, TILE_OFFSETS, TILE_COUNTS, FORMAT = 322, 323, 324, 325, 339
 SCALE, TIEPOINT, TRANSFORM, GEO_KEYS, NODATA = 33550, 33922, 34264, 34735, 42113
@@ -24,6 +29,124 @@ _CRS_KEYS = (3072, 2048)
 _DEGREES = (4326, 6668, 4612)
 
 
+KIND, PLANES = 254, 284
+
+Read = Callable[[int, int], bytes]
+#: Bytes read at a file's beginning, where most headers lie whole.
+HEAD = 1 << 16
+
+
+def bytes_reader(data: bytes) -> Read:
+    return lambda at, size: bytes(data[at : at + size])
+
+
+def ranges(path: str) -> tuple[Read, Callable[[], None]]:
+    """A reader of ranges of a file on any file system that Arrow knows (local, hdfs, s3, gs, ...), and its close."""
+    local = path.removeprefix("file://").removeprefix("file:") if path.startswith("file:") else path
+    if "://" in local:
+        from pyarrow.fs import FileSystem
+
+        system, inside = FileSystem.from_uri(local)
+        f = system.open_input_file(inside)
+    else:
+        f = open(local, "rb")  # noqa: SIM115
+
+    def read(at: int, size: int) -> bytes:
+        f.seek(at)
+        return f.read(size)
+
+    return read, f.close
+
+
+@dataclass(frozen=True)
+class TransverseMercator:
+    """An ellipsoid's transverse Mercator: central meridian and origin's latitude in degrees, scale, false east and north."""
+
+    meridian: float
+    origin: float
+    scale: float
+    east: float
+    north: float
+    axis: float = 6378137.0
+    flattening: float = 1 / 298.257222101
+
+    def _series(self) -> tuple[float, np.ndarray, np.ndarray]:
+        # Krueger's series to the fourth order of the third flattening.
+        n = self.flattening / (2 - self.flattening)
+        radius = self.axis / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+        alpha = np.array([n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16 + 41 * n**4 / 180, 13 * n**2 / 48 - 3 * n**3 / 5 + 557 * n**4 / 1440, 61 * n**3 / 240 - 103 * n**4 / 140, 49561 * n**4 / 161280])
+        beta = np.array([n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96 - n**4 / 360, n**2 / 48 + n**3 / 15 - 437 * n**4 / 1440, 17 * n**3 / 480 - 37 * n**4 / 840, 4397 * n**4 / 161280])
+        return radius, alpha, beta
+
+    def _conformal(self, lat: np.ndarray) -> np.ndarray:
+        """Tangent of the conformal latitude."""
+        e = math.sqrt(self.flattening * (2 - self.flattening))
+        s = np.sin(lat)
+        return np.sinh(np.arctanh(s) - e * np.arctanh(e * s))
+
+    def forward(self, lon: np.ndarray, lat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Degrees to metres."""
+        radius, alpha, _ = self._series()
+        t, turn = self._conformal(np.radians(lat)), np.radians(np.asarray(lon) - self.meridian)
+        xi, eta = np.arctan2(t, np.cos(turn)), np.arcsinh(np.sin(turn) / np.hypot(t, np.cos(turn)))
+        j = 2.0 * np.arange(1, 5).reshape(-1, *[1] * np.ndim(xi))
+        a = alpha.reshape(j.shape)
+        x = self.east + self.scale * radius * (eta + (a * np.cos(j * xi) * np.sinh(j * eta)).sum(axis=0))
+        y = radius * (xi + (a * np.sin(j * xi) * np.cosh(j * eta)).sum(axis=0))
+        return x, self.north + self.scale * (y - self._from_equator())
+
+    def _from_equator(self) -> float:
+        radius, alpha, _ = self._series()
+        xi = math.atan(float(self._conformal(np.radians(self.origin))))
+        return radius * (xi + sum(float(a) * math.sin(2 * (k + 1) * xi) for k, a in enumerate(alpha)))
+
+    def inverse(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Metres to degrees."""
+        radius, _, beta = self._series()
+        xi0 = ((np.asarray(y, float) - self.north) / self.scale + self._from_equator()) / radius
+        eta0 = (np.asarray(x, float) - self.east) / self.scale / radius
+        j = 2.0 * np.arange(1, 5).reshape(-1, *[1] * np.ndim(xi0))
+        b = beta.reshape(j.shape)
+        xi = xi0 - (b * np.sin(j * xi0) * np.cosh(j * eta0)).sum(axis=0)
+        eta = eta0 - (b * np.cos(j * xi0) * np.sinh(j * eta0)).sum(axis=0)
+        t = np.sin(xi) / np.hypot(np.sinh(eta), np.cos(xi))
+        lat = np.arctan(t)
+        for _ in range(6):  # the latitude whose conformal tangent is t
+            f = self._conformal(lat)
+            e2 = self.flattening * (2 - self.flattening)
+            lat = lat + (t - f) * np.cos(lat) * (1 - e2 * np.sin(lat) ** 2) / (1 - e2) / np.sqrt(1 + f * f)
+        return self.meridian + np.degrees(np.arctan2(np.sinh(eta), np.cos(xi))), np.degrees(lat)
+
+
+# Latitude and longitude (degrees and minutes) of the origins of Japan's zones I to XIX.
+_JAPAN = (
+    (33, 129, 30), (33, 131, 0), (36, 132, 10), (33, 133, 30), (36, 134, 20), (36, 136, 0), (36, 137, 10), (36, 138, 30), (36, 139, 50), (40, 140, 50),
+    (44, 140, 15), (44, 142, 15), (44, 144, 15), (26, 142, 0), (26, 127, 30), (26, 124, 0), (26, 131, 0), (20, 136, 0), (26, 154, 0),
+)
+
+
+def projection(crs: int) -> TransverseMercator | None:
+    """The transverse Mercator projection of a code, if it is one that is known."""
+    for first in (6669, 2443):
+        if first <= crs < first + len(_JAPAN):
+            lat, degrees, minutes = _JAPAN[crs - first]
+            return TransverseMercator(degrees + minutes / 60, lat, 0.9999, 0.0, 0.0)
+    for first, last, north in ((32601, 32660, 0.0), (32701, 32760, 10_000_000.0)):
+        if first <= crs <= last:
+            return TransverseMercator(6 * (crs - first) - 177, 0.0, 0.9996, 500_000.0, north, flattening=1 / 298.257223563)
+    if 6688 <= crs <= 6692:  # UTM zones 51 to 55 of Japan's frame
+        return TransverseMercator(6 * (crs - 6688 + 50) - 177, 0.0, 0.9996, 500_000.0, 0.0)
+    return None
+
+
+def to_degrees(my: np.ndarray) -> np.ndarray:
+    return np.degrees(np.arctan(np.sinh(np.asarray(my) / HALF * np.pi)))
+
+
+def to_metres(lat: np.ndarray) -> np.ndarray:
+    return np.arcsinh(np.tan(np.radians(lat))) / np.pi * HALF
+
+
 @dataclass
 class Header:
     width: int
@@ -36,39 +159,79 @@ class Header:
     nodata: float | None
     tags: dict
     order: str
+    mask: dict | None = None
 
     @property
     def bounds(self) -> tuple[float, float, float, float]:
         return self.left, self.top - self.step_y * self.height, self.left + self.step_x * self.width, self.top
 
     def mercator_bounds(self) -> tuple[float, float, float, float]:
-        """(left, bottom, right, top) in metres."""
+        """(left, bottom, right, top) in Mercator metres. A projected raster's edges are followed in 21 places each."""
         if self.crs is None:
             raise ValueError("the raster has no CRS")
+        w, s, e, n = self.bounds
         if self.crs == 3857:
-            return self.bounds
-        if self.crs not in _DEGREES:
+            return w, s, e, n
+        if self.crs in _DEGREES:
+            return w / 180 * HALF, float(to_metres(s)), e / 180 * HALF, float(to_metres(n))
+        flat = projection(self.crs)
+        if flat is None:
             raise ValueError(f"CRS {self.crs} is not supported")
-        w, s, e, n = self.bounds
-        y = lambda lat: float(np.arcsinh(np.tan(np.radians(lat))) / np.pi * HALF)
-        return w / 180 * HALF, y(s), e / 180 * HALF, y(n)
+        xs, ys = np.linspace(w, e, 21), np.linspace(s, n, 21)
+        lon, lat = flat.inverse(np.concatenate([xs, xs, np.full(21, w), np.full(21, e)]), np.concatenate([np.full(21, s), np.full(21, n), ys, ys]))
+        return float(lon.min() / 180 * HALF), float(to_metres(lat.min())), float(lon.max() / 180 * HALF), float(to_metres(lat.max()))
+
+    def place(self, mx: np.ndarray, my: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Fractional rows and columns (0 is the first pixel's centre) of Mercator places: of a column of eastings and
+        one of northings where the axes stay apart, of whole grids of both where the CRS turns them."""
+        if self.crs == 3857:
+            x, y = mx, my
+        elif self.crs in _DEGREES:
+            x, y = mx / HALF * 180, to_degrees(my)
+        else:
+            x, y = projection(self.crs).forward(*np.broadcast_arrays(mx[None, :] / HALF * 180, to_degrees(my)[:, None]))
+        return (self.top - y) / self.step_y - 0.5, (x - self.left) / self.step_x - 0.5
 
 
-def header(data: bytes) -> Header:
-    order = {b"II": "<", b"MM": ">"}.get(data[:2])
-    if order is None or struct.unpack_from(order + "H", data, 2)[0] != 42:
-        raise ValueError("not a classic TIFF")
-    at = struct.unpack_from(order + "I", data, 4)[0]
+def _directory(read: Read, at: int, order: str, big: bool) -> tuple[dict[int, tuple], int]:
+    """A directory's tags, and where the next one lies (0: nowhere)."""
+    many, slot, code, most = ("Q", 20, "HHQ", 8) if big else ("H", 12, "HHI", 4)
+    start = struct.calcsize(order + many)
+    n = struct.unpack(order + many, read(at, start))[0]
+    body = read(at + start, n * slot + most)
     tags: dict[int, tuple] = {}
-    for k in range(struct.unpack_from(order + "H", data, at)[0]):
-        tag, kind, count = struct.unpack_from(order + "HHI", data, at + 2 + 12 * k)
+    for k in range(n):
+        tag, kind, count = struct.unpack_from(order + code, body, slot * k)
         if kind not in _TYPES:
             continue
-        code = _TYPES[kind]
-        form = f"{order}{count}s" if code == "s" else order + code * count
+        form = f"{order}{count}s" if _TYPES[kind] == "s" else f"{order}{count * len(_TYPES[kind])}{_TYPES[kind][0]}"
         size = struct.calcsize(form)
-        place = at + 2 + 12 * k + 8
-        tags[tag] = struct.unpack_from(form, data, place if size <= 4 else struct.unpack_from(order + "I", data, place)[0])
+        inline = body[slot * k + slot - most : slot * k + slot]
+        tags[tag] = struct.unpack(form, inline[:size] if size <= most else read(struct.unpack(order + ("Q" if big else "I"), inline)[0], size))
+    return tags, struct.unpack_from(order + ("Q" if big else "I"), body, n * slot)[0]
+
+
+def header(source: bytes | Read) -> Header:
+    read = source if callable(source) else bytes_reader(source)
+    head = read(0, HEAD)
+
+    def near(at: int, size: int) -> bytes:
+        return head[at : at + size] if at + size <= len(head) else read(at, size)
+
+    order = {b"II": "<", b"MM": ">"}.get(head[:2])
+    version = struct.unpack_from(order + "H", head, 2)[0] if order else 0
+    if version not in (42, 43):
+        raise ValueError("not a TIFF")
+    big = version == 43
+    at = struct.unpack_from(order + "Q", head, 8)[0] if big else struct.unpack_from(order + "I", head, 4)[0]
+    tags, after = _directory(near, at, order, big)
+    mask, seen = None, {at}
+    while after and after not in seen and len(seen) < 64 and mask is None:
+        seen.add(after)
+        other, following = _directory(near, after, order, big)
+        if other.get(KIND, (0,))[0] & 4 and other[WIDTH][0] == tags[WIDTH][0] and other[HEIGHT][0] == tags[HEIGHT][0]:
+            mask = other
+        after = following
     if SCALE in tags and TIEPOINT in tags:
         col, row, _, x, y, _ = tags[TIEPOINT][:6]
         sx, sy = tags[SCALE][:2]
@@ -82,7 +245,7 @@ def header(data: bytes) -> Header:
     geo = {keys[i]: keys[i + 3] for i in range(4, len(keys) - 3, 4) if keys[i + 1] == 0}
     crs = next((geo[k] for k in _CRS_KEYS if geo.get(k, 32767) != 32767), None)
     text = tags.get(NODATA, (b"",))[0].split(b"\0")[0].strip()
-    return Header(tags[WIDTH][0], tags[HEIGHT][0], crs, left, top, sx, sy, float(text) if text else None, tags, order)
+    return Header(tags[WIDTH][0], tags[HEIGHT][0], crs, left, top, sx, sy, float(text) if text else None, tags, order, mask)
 
 
 def _packbits(data: bytes) -> bytes:
@@ -125,45 +288,94 @@ def _lzw(data: bytes) -> bytes:
     return b"".join(out)
 
 
+def _unpacked(raw: bytes, compression: int) -> bytes:
+    if compression in (8, 32946):
+        return zlib.decompress(raw)
+    if compression == 5:
+        return _lzw(raw)
+    if compression == 32773:
+        return _packbits(raw)
+    if compression != 1:
+        raise ValueError(f"compression {compression} is not supported")
+    return raw
+
+
+@dataclass
+class Raster:
+    """A raster's first band, read by windows. The segments (strips or tiles) of the last windows are kept."""
+
+    read: Read
+    h: Header
+    most: int = 64 << 20  # bytes of segments kept
+    decoded: int = 0  # segments decoded so far
+    _kept: OrderedDict = field(default_factory=OrderedDict)
+    _size: int = 0
+
+    def _layout(self, t: dict) -> tuple[int, int, tuple, tuple, int]:
+        tiled = TILE_OFFSETS in t
+        wide, high = (t[TILE_WIDTH][0], t[TILE_HEIGHT][0]) if tiled else (self.h.width, min(t.get(ROWS, (self.h.height,))[0], self.h.height))
+        offsets, counts = (t[TILE_OFFSETS], t[TILE_COUNTS]) if tiled else (t[OFFSETS], t[COUNTS])
+        return wide, high, offsets, counts, -(-self.h.width // wide)
+
+    def _segment(self, t: dict, k: int) -> np.ndarray:
+        """One strip's or tile's values."""
+        name = (id(t), k)
+        if name in self._kept:
+            self._kept.move_to_end(name)
+            return self._kept[name]
+        wide, high, offsets, counts, across = self._layout(t)
+        bits, kind = t.get(BITS, (1,))[0], {1: "u", 2: "i", 3: "f"}.get(t.get(FORMAT, (1,))[0])
+        bands = t.get(SAMPLES, (1,))[0] if t.get(PLANES, (1,))[0] == 1 else 1
+        if kind is None or bits not in (1, 8, 16, 32, 64):
+            raise ValueError("only rasters of bits or whole bytes are supported")
+        rows = high if TILE_OFFSETS in t else min(high, self.h.height - k // across * high)
+        raw = _unpacked(self.read(offsets[k], counts[k]), t.get(COMPRESSION, (1,))[0])
+        predictor = t.get(PREDICTOR, (1,))[0]
+        if bits == 1:
+            x = np.unpackbits(np.frombuffer(raw, np.uint8)[: rows * -(-wide // 8)].reshape(rows, -1), axis=1)[:, :wide]
+        else:
+            form = np.dtype(f"{self.h.order}{kind}{bits // 8}")
+            if predictor == 3:
+                planes = np.frombuffer(raw, np.uint8)[: rows * wide * bands * form.itemsize].reshape(rows, -1, bands)
+                planes = np.cumsum(planes, axis=1, dtype=np.uint8).reshape(rows, form.itemsize, wide * bands)
+                x = np.ascontiguousarray(planes.transpose(0, 2, 1)).view(f">f{form.itemsize}")[:, :, 0].reshape(rows, wide, bands)
+            else:
+                x = np.frombuffer(raw, form)[: rows * wide * bands].reshape(rows, wide, bands)
+                if predictor == 2:
+                    x = np.cumsum(x, axis=1, dtype=x.dtype.newbyteorder("="))
+            x = x[:, :, 0]
+        self.decoded += 1
+        self._kept[name] = x
+        self._size += x.nbytes
+        while self._size > self.most and len(self._kept) > 1:
+            self._size -= self._kept.popitem(last=False)[1].nbytes
+        return x
+
+    def _pixels(self, t: dict, row0: int, row1: int, col0: int, col1: int) -> np.ndarray:
+        wide, high, *_, across = self._layout(t)
+        out = np.zeros((row1 - row0, col1 - col0))
+        for i in range(row0 // high, -(-row1 // high)):
+            for j in range(col0 // wide, -(-col1 // wide)):
+                x = self._segment(t, i * across + j)
+                top, left = i * high, j * wide
+                r0, r1, c0, c1 = max(row0, top), min(row1, top + x.shape[0]), max(col0, left), min(col1, left + x.shape[1])
+                out[r0 - row0 : r1 - row0, c0 - col0 : c1 - col0] = x[r0 - top : r1 - top, c0 - left : c1 - left]
+        return out
+
+    def window(self, row0: int, row1: int, col0: int, col1: int) -> np.ndarray:
+        """Rows and columns of the band as float64, no data as NaN: by the no-data value, else by the internal mask."""
+        out = self._pixels(self.h.tags, row0, row1, col0, col1)
+        if self.h.nodata is not None:
+            out[np.isnan(out) if np.isnan(self.h.nodata) else out == self.h.nodata] = np.nan
+        elif self.h.mask is not None:
+            out[self._pixels(self.h.mask, row0, row1, col0, col1) == 0] = np.nan
+        return out
+
+
 def band(data: bytes, h: Header | None = None) -> np.ndarray:
-    """The first band as float64, no data as NaN."""
+    """The whole first band."""
     h = h or header(data)
-    t = h.tags
-    bits, kind = t.get(BITS, (1,))[0], {1: "u", 2: "i", 3: "f"}.get(t.get(FORMAT, (1,))[0])
-    if kind is None or bits not in (8, 16, 32, 64) or t.get(SAMPLES, (1,))[0] != 1:
-        raise ValueError("only single-band rasters of whole bytes are supported")
-    form = np.dtype(f"{h.order}{kind}{bits // 8}")
-    tiled = TILE_OFFSETS in t
-    wide, high = (t[TILE_WIDTH][0], t[TILE_HEIGHT][0]) if tiled else (h.width, min(t.get(ROWS, (h.height,))[0], h.height))
-    offsets, counts = (t[TILE_OFFSETS], t[TILE_COUNTS]) if tiled else (t[OFFSETS], t[COUNTS])
-    across = -(-h.width // wide)
-    out = np.zeros((h.height, h.width))
-    predictor = t.get(PREDICTOR, (1,))[0]
-    for k, (at, size) in enumerate(zip(offsets, counts, strict=True)):
-        row, col = k // across * high, k % across * wide
-        rows = high if tiled else min(high, h.height - row)
-        raw = data[at : at + size]
-        compression = t.get(COMPRESSION, (1,))[0]
-        if compression in (8, 32946):
-            raw = zlib.decompress(raw)
-        elif compression == 5:
-            raw = _lzw(raw)
-        elif compression == 32773:
-            raw = _packbits(raw)
-        elif compression != 1:
-            raise ValueError(f"compression {compression} is not supported")
-        if predictor == 3:
-            planes = np.cumsum(np.frombuffer(raw, np.uint8)[: rows * wide * form.itemsize].reshape(rows, -1), axis=1, dtype=np.uint8)
-            x = np.ascontiguousarray(planes.reshape(rows, form.itemsize, wide).transpose(0, 2, 1)).view(f">f{form.itemsize}")[:, :, 0]
-        else:
-            x = np.frombuffer(raw, form)[: rows * wide].reshape(rows, wide)
-            if predictor == 2:
-                x = np.cumsum(x, axis=1, dtype=x.dtype.newbyteorder("="))
-        part = out[row : row + rows, col : col + wide]
-        part[:] = x[: part.shape[0], : part.shape[1]]
-    if h.nodata is not None:
-        out[np.isnan(out) if np.isnan(h.nodata) else out == h.nodata] = np.nan
-    return out
+    return Raster(bytes_reader(data), h).window(0, h.height, 0, h.width)
 
 
 def write(path: str, grid: np.ndarray, left: float, top: float, step: float, crs: int = 3857, nodata: float | None = None, compress: bool = True) -> None:

@@ -1,8 +1,10 @@
 """The PMTiles format, version 3, by its public specification, as a Spark data source.
 
-Reading: option ``table`` is tiles (default), header or metadata; tiles are read in partitions of directory entries.
-Writing: rows sorted by Hilbert tile id go through one task, which spools payloads to a file, shares equal
-neighbouring payloads by run length, and writes header, directories, metadata and data, then renames the file.
+Reading: option ``table`` is tiles (default), header or metadata; partitions are the leaf directories' places (or runs
+of the root's entries), so no list of tiles is made on the driver. Writing: every task spools the payloads of one
+range of Hilbert tile ids, in order, to a file beside the archive, and their directory entries to another; the commit
+puts the ranges in order, streams entries into leaf directories and payloads behind them, and renames the file. Equal
+neighbouring payloads share one entry by its run length. The path must lie in a folder that driver and executors share.
 """
 
 from __future__ import annotations
@@ -124,23 +126,41 @@ def read_entries(f, header: dict[str, int]) -> Iterator[tuple[int, int, int, int
 
 
 @dataclass
-class Entries(InputPartition):
-    entries: list
+class Place(InputPartition):
+    """A directory in the file, and which of its entries (all below it) are meant."""
+
+    offset: int
+    length: int
+    first: int = 0
+    last: int = 1 << 62
+
+
+def _directories(f, header: dict[str, int], each: int) -> Iterator[Place]:
+    """The places of all data entries: leaf directories are named by their own place, not opened."""
+    offset, length = header["root_offset"], header["root_length"]
+    f.seek(offset)
+    entries = unpack_directory(f.read(length))
+    leaves = [e for e in entries if not e[1]]
+    if leaves:
+        yield from (Place(header["leaf_offset"] + e[3], e[2]) for e in leaves)
+    if len(leaves) < len(entries):  # data entries in the root itself
+        yield from (Place(offset, length, i, i + each) for i in range(0, len(entries), each))
 
 
 class PMTilesReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.path, self.table = plain_path(options["path"]), options.get("table", "tiles")
-        self.each = int(options.get("entriesperpartition", "20000"))
+        self.each = int(options.get("entriesperpartition", "4096"))
 
     def partitions(self) -> list[InputPartition]:
         if self.table != "tiles":
-            return [Entries([])]
+            return [Place(0, 0)]
         with open(self.path, "rb") as f:
-            every = list(read_entries(f, read_header(f)))
-        return [Entries(every[i : i + self.each]) for i in range(0, len(every), self.each)]
+            return list(_directories(f, read_header(f), self.each))
 
-    def read(self, partition: Entries) -> Iterator[tuple]:
+    def read(self, partition: Place | None) -> Iterator[tuple]:
+        if partition is None:  # Spark's stand-in where there are no partitions
+            return
         with open(self.path, "rb") as f:
             header = read_header(f)
             if self.table == "header":
@@ -150,20 +170,42 @@ class PMTilesReader(DataSourceReader):
                 raw = f.read(header["metadata_length"])
                 told = json.loads(gzip.decompress(raw) if header["internal_compression"] == GZIP else raw or b"{}")
                 yield from ((k, v if isinstance(v, str) else json.dumps(v)) for k, v in told.items())
-            for number, run, length, offset in partition.entries:
-                f.seek(header["data_offset"] + offset)
-                data = f.read(length)
-                for k in range(run):
-                    yield *tile_of(number + k), data
+            else:
+                for number, run, length, offset in self._entries(f, header, partition):
+                    f.seek(header["data_offset"] + offset)
+                    data = f.read(length)
+                    for k in range(run):
+                        yield *tile_of(number + k), data
+
+    def _entries(self, f, header: dict[str, int], place: Place) -> Iterator[tuple[int, int, int, int]]:
+        f.seek(place.offset)
+        in_root = place.offset == header["root_offset"]
+        for e in unpack_directory(f.read(place.length))[place.first : place.last]:
+            if e[1]:
+                yield e
+            elif not in_root:  # a leaf's own leaves; the root's have partitions of their own
+                yield from self._entries(f, header, Place(header["leaf_offset"] + e[3], e[2]))
+
+
+_ENTRY = struct.Struct("<QIIQ")
 
 
 @dataclass
 class Spooled(WriterCommitMessage):
+    """What a task wrote: its files, its first and last tile id, entries, tiles and lowest and highest zoom."""
+
     spool: str | None
-    entries: list
-    zooms: tuple[int, int]
-    addressed: int
-    contents: int
+    first: int = 0
+    last: int = -1
+    entries: int = 0
+    addressed: int = 0
+    zooms: tuple[int, int] = (0, 0)
+
+
+def _stored(path: str) -> Iterator[tuple[int, int, int, int]]:
+    with open(path, "rb") as f:
+        while part := f.read(_ENTRY.size * 4096):
+            yield from _ENTRY.iter_unpack(part)
 
 
 class PMTilesWriter(DataSourceArrowWriter):
@@ -176,66 +218,119 @@ class PMTilesWriter(DataSourceArrowWriter):
         from pyspark import TaskContext
 
         spool = f"{self.path}.spool-{TaskContext.get().partitionId()}-{TaskContext.get().attemptNumber()}"
-        entries: list[tuple[int, int, int, int]] = []
-        before, data, at, low, high, addressed = -1, None, 0, 99, -1, 0
-        with open(spool, "wb") as f:
+        out, before, data, at, run = Spooled(spool, zooms=(99, -1)), -1, None, 0, None
+        with open(spool, "wb") as f, open(f"{spool}.entries", "wb") as listed:
             for batch in batches:
-                for r in batch.to_pylist():
-                    number = tile_id(r["z"], r["x"], r["y"])
+                for z, x, y, payload in zip(*(batch.column(c).to_pylist() for c in ("z", "x", "y", "tile_data")), strict=True):
+                    number = tile_id(z, x, y)
                     if number <= before:
-                        raise ValueError("tiles must come in order of tile id, each once, in one partition")
-                    if data == r["tile_data"] and number == before + 1:
-                        last = entries[-1]
-                        entries[-1] = (last[0], last[1] + 1, last[2], last[3])
+                        raise ValueError("tiles must come in order of tile id, each once")
+                    if run is not None and data == payload and number == before + 1:
+                        run[1] += 1
                     else:
-                        data = bytes(r["tile_data"])
-                        entries.append((number, 1, len(data), at))
+                        if run is not None:
+                            listed.write(_ENTRY.pack(*run))
+                        data = bytes(payload)
+                        run = [number, 1, len(data), at]
                         f.write(data)
                         at += len(data)
-                    before, low, high, addressed = number, min(low, r["z"]), max(high, r["z"]), addressed + 1
-        if not entries:
-            os.remove(spool)
-        return Spooled(spool if entries else None, entries, (low, high), addressed, len(entries))
+                        out.entries += 1
+                    if not out.addressed:
+                        out.first = number
+                    before, out.addressed, out.zooms = number, out.addressed + 1, (min(out.zooms[0], z), max(out.zooms[1], z))
+            if run is not None:
+                listed.write(_ENTRY.pack(*run))
+        out.last = before
+        if not out.addressed:
+            self._drop(out)
+            return Spooled(None)
+        return out
+
+    @staticmethod
+    def _drop(m: Spooled) -> None:
+        for p in (m.spool, f"{m.spool}.entries"):
+            if os.path.exists(p):
+                os.remove(p)
+
+    @staticmethod
+    def _joined(parts: list[Spooled]) -> Iterator[tuple[int, int, int, int]]:
+        """All entries in order, offsets counted over the spools laid end to end. Where a range ends in the payload
+        that the next begins with, one entry stands for both."""
+        base, held, payload = 0, None, None
+        for m in parts:
+            with open(m.spool, "rb") as f:
+                for k, (number, run, length, offset) in enumerate(_stored(f"{m.spool}.entries")):
+                    if held is not None:
+                        if k == 0 and held[0] + held[1] == number and held[2] == length and payload == f.read(length):
+                            held = (held[0], held[1] + run, length, held[3])
+                            continue
+                        yield held
+                    held = (number, run, length, base + offset)
+                if held is not None and held[3] >= base:
+                    f.seek(held[3] - base)
+                    payload = f.read(held[2])
+            base += os.path.getsize(m.spool)
+        if held is not None:
+            yield held
 
     def commit(self, messages: list[Spooled | None]) -> None:
-        full = [m for m in messages if m and m.spool]
-        if len(full) > 1:
-            raise ValueError("tiles must be written from one partition")
-        entries = full[0].entries if full else []
-        low, high = full[0].zooms if full else (0, 0)
+        """Only a directory's entries, and one part's last payload, are in memory at a time."""
+        full = sorted((m for m in messages if m and m.spool), key=lambda m: m.first)
+        if any(a.last >= b.first for a, b in zip(full[:-1], full[1:], strict=True)):
+            raise ValueError("tasks must hold disjoint ranges of tile ids")
+        low, high = (min(m.zooms[0] for m in full), max(m.zooms[1] for m in full)) if full else (0, 0)
         west, south, east, north = (float(v) for v in self.options.get("bounds", "-180,-85.0511287,180,85.0511287").split(","))
-        root, leaves, each = pack_directory(entries), b"", 4096
-        while len(root) > ROOT_LIMIT:
-            parts, leaves, at = [], b"", 0
-            for i in range(0, len(entries), each):
-                leaf = pack_directory(entries[i : i + each])
-                parts.append((entries[i][0], 0, len(leaf), at))
-                leaves += leaf
-                at += len(leaf)
-            root, each = pack_directory(parts), each * 2
+        whole, leaves = f"{self.path}.whole", f"{self.path}.leaves"
+        each, count = 4096, 0
+        total = sum(m.entries for m in full)
+        while total // each > 1500:  # so that the root stays within its limit
+            each *= 2
+        entries, parts, at = [], [], 0
+        with open(leaves, "wb") as f:
+            for e in self._joined(full):
+                entries.append(e)
+                count += 1
+                if len(entries) == each:
+                    at = self._leaf(f, entries, parts, at)
+                    entries = []
+            root = pack_directory(entries) if not parts else b""
+            if parts or len(root) > ROOT_LIMIT:
+                step = each if parts else each // 8
+                for i in range(0, len(entries), step):
+                    at = self._leaf(f, entries[i : i + step], parts, at)
+                root = pack_directory(parts)
+        if len(root) > ROOT_LIMIT:
+            raise ValueError("the root directory is too large")
+        leaf_size, size = os.path.getsize(leaves), sum(os.path.getsize(m.spool) for m in full)
         told = gzip.compress(json.dumps(json.loads(self.options.get("metadata", "{}")), ensure_ascii=False).encode(), mtime=0)
-        size = sum(e[2] for e in entries)
         e7 = lambda v: int(v * 1e7)
         at = HEADER_BYTES + len(root)
-        header = _HEADER.pack(
-            b"PMTiles", 3, HEADER_BYTES, len(root), at, len(told), at + len(told), len(leaves), at + len(told) + len(leaves), size,
-            full[0].addressed if full else 0, len(entries), full[0].contents if full else 0, 1, GZIP, NONE, TILE_TYPES.get(self.options.get("tiletype", "webp"), 0), low, high,
+        head = _HEADER.pack(
+            b"PMTiles", 3, HEADER_BYTES, len(root), at, len(told), at + len(told), leaf_size, at + len(told) + leaf_size, size,
+            sum(m.addressed for m in full), count, count, 1, GZIP, NONE, TILE_TYPES.get(self.options.get("tiletype", "webp"), 0), low, high,
             e7(west), e7(south), e7(east), e7(north), int(self.options.get("centerzoom", low)), int(0.5 * (e7(west) + e7(east))), int(0.5 * (e7(south) + e7(north))),
         )
-        whole = f"{self.path}.whole"
         with open(whole, "wb") as f:
-            f.write(header + root + told + leaves)
-            if full:
-                with open(full[0].spool, "rb") as spool:
-                    shutil.copyfileobj(spool, f, 1 << 20)
+            f.write(head + root + told)
+            for p in (leaves, *(m.spool for m in full)):
+                with open(p, "rb") as part:
+                    shutil.copyfileobj(part, f, 1 << 20)
         os.replace(whole, self.path)
-        if full:
-            os.remove(full[0].spool)
+        os.remove(leaves)
+        for m in full:
+            self._drop(m)
+
+    @staticmethod
+    def _leaf(f, entries: list, parts: list, at: int) -> int:
+        leaf = pack_directory(entries)
+        f.write(leaf)
+        parts.append((entries[0][0], 0, len(leaf), at))
+        return at + len(leaf)
 
     def abort(self, messages: list[Spooled | None]) -> None:
         for m in messages:
-            if m and m.spool and os.path.exists(m.spool):
-                os.remove(m.spool)
+            if m and m.spool:
+                self._drop(m)
 
 
 class PMTilesSource(DataSource):
