@@ -639,8 +639,11 @@ def union_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    from . import run_queries  # noqa: F401, registers its queries beside these
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(_SQL)
