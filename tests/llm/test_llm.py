@@ -406,6 +406,30 @@ def test_op4_awkward(spark, odd, none):
     assert sharding.shard_rows(none, 5).count() == 0
 
 
+def test_op4_repeated_rows_and_many_buckets(spark, monkeypatch):
+    """A row that half of the table repeats gets as many numbers; buckets and runs of copies change no law."""
+    monkeypatch.setattr(sharding, "RUN", 100)
+    df = spark.range(0, 4000, 1, 5).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("doc_id"), F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("t"), "id")).alias("text"), F.lit(1).alias("number"), F.lit(2).alias("_copies"))
+    rows = sharding.shard_rows(df, 7).collect()
+    assert len(rows) == 4000 and sum(r.doc_id == 7 for r in rows) == 2001
+    check_shards(rows, 7)
+    some, n = sharding.numbered(df.select("doc_id", "text"), ["doc_id", "text"], least=3, each=50)
+    got = some.collect()
+    assert n == 4000 and sorted(r.number for r in got) == list(range(4000))
+    other, _ = sharding.numbered(df.repartition(3, "doc_id").select("doc_id", "text"), ["doc_id", "text"], least=3, each=50)
+    assert sorted((r.doc_id, r.number) for r in other.collect()) == sorted((r.doc_id, r.number) for r in got)
+
+
+def test_op3_hot_length(spark):
+    """A length that most pieces share is ranked in many buckets, repeated rows too."""
+    rows = [(i % 40, 0, 0, 2048 if i % 3 else 5 + i % 7, 99) for i in range(3000)]
+    pieces = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    for each in (37, 100_000):
+        got = packing.pack(pieces.repartition(5), each=each).collect()
+        assert collections.Counter((r.doc_id, r.length) for r in got) == collections.Counter((r[0], r[3]) for r in rows)
+        assert check_packing(got) == 2000 + math.ceil(sum(r[3] for r in rows if r[3] < 2048) / 2048)
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 12, 97, 1000, 4099])
 def test_permutation(spark, n):
     got = spark.range(n).select(sharding.permuted(F.col("id"), n, 3).alias("p")).collect()
