@@ -30,6 +30,8 @@ CROWD = 64
 SHARE, FEW, ALL = 0.026, 500, 128
 #: Rows of a cell, and queries, that one task holds at most, and pairs whose vectors it holds at once.
 BLOCK_ROWS, BLOCK_QUERIES, PAIRS = 8192, 2048, 100_000
+#: Vectors that one task hashes, about.
+EACH = 2000
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -264,18 +266,18 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, tables: int = TA
 
     keyed = cut(named(vectors))
     n = keyed.count()
-    asked = cut(named(queries).dropDuplicates(["vec_id", "key"]).select(F.col("vec_id").alias("query_id"), "key", "vec"))
+    asked = cut(named(queries).dropDuplicates(["vec_id", "key"]).select(F.col("vec_id").alias("query_id"), "key", "vec"), n, EACH)
     # Equal vectors: one entry, named by its smallest id.
     grouped = cut(settle(keyed.select("vec_id", "key"), "key", "vec_id", largest=False).select("vec_id", "key", "best", (F.col("n") > 1).alias("copied")), n)
     entries = keyed.join(grouped.where("vec_id = best").select("vec_id", "key", "copied").distinct(), ["vec_id", "key"]).dropDuplicates(["vec_id", "key"])
-    entries = cut(entries.select("vec_id", "key", "copied", "vec"))
+    entries = cut(entries.select("vec_id", "key", "copied", "vec"), n, EACH)
     few = Window.partitionBy("best", "key").orderBy("vec_id")
     copies = grouped.where("vec_id <> best").select("best", "key", "vec_id").distinct()
     copies = copies.withColumn("r", F.row_number().over(few)).where(F.col("r") <= k + 1).select(F.col("best").alias("entry"), "key", F.col("vec_id").alias("copy"))
     base, probe = cut(_buckets(entries, n, tables, seed)), cut(_probes(asked, n, tables, seed))
-    told = cut(_named(_met(base, probe, k), copies, k))
+    told = cut(_named(_met(base, probe, k), copies, k), n)
     short = asked.join(told.where(F.col("rank") == k).select("query_id"), "query_id", "left_anti")
-    short = cut(short.select("query_id", "key", "vec", F.size("vec").cast("long").alias("cell"), F.lit(None).cast("array<long>").alias("codes")))
+    short = cut(short.select("query_id", "key", "vec", F.size("vec").cast("long").alias("cell"), F.lit(None).cast("array<long>").alias("codes")), n, EACH)
     if short.isEmpty():
         return told
     whole = entries.select("vec_id", "key", "copied", "vec", F.size("vec").cast("long").alias("cell"), F.lit(0).cast("long").alias("code"))
