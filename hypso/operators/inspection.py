@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import operator
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TILE = ("z", "x", "y")
@@ -68,10 +71,25 @@ def running_peak(events: DataFrame, by: list[str], order: list[str], value: str)
     return events.withColumn("peak", F.max(value).over(w))
 
 
-def numbered_batches(rows: DataFrame, by: list[str], order: list[str], size: int = 250, checkpoint: int = 10_000) -> DataFrame:
-    """Batch numbers from 0 of ``size`` rows in order inside each group, and the rows after which a checkpoint falls."""
-    n = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
-    return rows.withColumns({"batch_id": F.floor((n - 1) / size), "is_checkpoint": n % checkpoint == 0})
+def numbered_batches(rows: DataFrame, by: list[str], order: list[str], size: int = 250, checkpoint: int = 10_000, stretch: Column | None = None) -> DataFrame:
+    """Batch numbers from 0 of ``size`` rows in order inside each group, and the rows after which a checkpoint falls.
+
+    ``stretch``, which must not fall along the order (as an hour does not along time), cuts long groups: each stretch is
+    numbered by a task of its own, from the count of the rows before it. Without it a group is numbered by one task.
+    """
+    if stretch is None:
+        n = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+        return rows.withColumns({"batch_id": F.floor((n - 1) / size), "is_checkpoint": n % checkpoint == 0})
+    cut = rows.withColumn("_stretch", stretch)
+    counts = cut.groupBy(*by, "_stretch").agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy(*by).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    keys = [*by, "_stretch"]
+    counts = counts.select(*(F.col(c).alias(f"_of_{c}") for c in keys), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy(*by, "_stretch").orderBy(*order))
+    n = F.col("_before") + F.col("_within")
+    same = reduce(operator.and_, (F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in keys))
+    numbered = cut.withColumn("_within", within).join(counts, same)
+    return numbered.select(*rows.columns, F.floor((n - 1) / size).alias("batch_id"), (n % checkpoint == 0).alias("is_checkpoint"))
 
 
 def human_bytes(size):

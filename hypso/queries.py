@@ -439,7 +439,9 @@ def running_peak(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {LOG}, n AS (SELECT event, event_id, row_number() OVER (PARTITION BY event ORDER BY t, event_id) AS n FROM log)
   SELECT event, event_id, (n - 1) // 250 AS batch_id, n % 1000 = 0 AS is_checkpoint FROM n""")
 def batch_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inspection.numbered_batches(logs(spark, sf_dir), ["event"], ["t", "event_id"], 250, 1000).select("event", "event_id", "batch_id", "is_checkpoint")
+    """Each hour of an event kind is numbered by itself, from the count of what came before."""
+    hour = F.floor(F.col("t") / 3600)
+    return inspection.numbered_batches(logs(spark, sf_dir), ["event"], ["t", "event_id"], 250, 1000, hour).select("event", "event_id", "batch_id", "is_checkpoint")
 
 
 @query(f"""WITH {LOG} SELECT (t // 3600) * 3600 AS start, event, count(*) AS n, min(floor(v))::BIGINT AS low, max(floor(v))::BIGINT AS high FROM log GROUP BY ALL""")

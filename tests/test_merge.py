@@ -126,3 +126,12 @@ def test_patterns(spark):
     groups = zoom_split.custom_split(spark, 16, 10.0)
     zoom_split.validate(groups)
     assert zoom_split.estimate_tiles(spark, 0, 6, (128.3, 32.4, 131.6, 33.8)) >= 1
+
+
+def test_numbered_batches_by_stretches(spark):
+    """Stretches give the numbers that one window gives, null groups too."""
+    df = spark.range(0, 900, 1, 4).selectExpr("IF(id % 3 = 0, NULL, CAST(id % 3 AS STRING)) AS g", "id * 7919 % 1000 AS t", "id")
+    plain = inspection.numbered_batches(df, ["g"], ["t", "id"], 25, 100)
+    cut = inspection.numbered_batches(df, ["g"], ["t", "id"], 25, 100, F.floor(F.col("t") / 90))
+    assert cut.columns == plain.columns
+    assert sorted(map(tuple, cut.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
