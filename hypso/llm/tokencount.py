@@ -145,18 +145,21 @@ def count_tokens(docs: DataFrame, model: bytes, cache: str, limit: int = 4096, i
     bounded_batches(spark)
     version = hashlib.sha256(model).hexdigest()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.sha2(text, 256).alias("key"))
+    # Keys are bytes while they are shuffled, half as long as the cache's hexadecimal ones.
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.unhex(F.sha2(text, 256)).alias("key"))
     keys = cut(texts.select("doc_id", "key", F.octet_length("text").cast("long").alias("n_bytes")))
     misses = cut(keys.groupBy("key").agg(F.min("doc_id").alias("first")).join(stored(spark, cache, version), "key", "left_anti"))
     if not misses.isEmpty():
         _encode(texts, misses, model, version, cache)
-    out = keys.join(stored(spark, cache, version), "key")
+    # Cut, so that the join's sides are plain shuffles: a digest that many rows share is split by adaptive execution.
+    out = keys.join(cut(stored(spark, cache, version)), "key")
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
 def stored(spark: SparkSession, cache: str, version: str) -> DataFrame:
-    """key, n_tokens of one model version, each key once."""
-    return read_cache(spark, cache).where(F.col("tokenizer") == version).groupBy("key").agg(F.min("n_tokens").alias("n_tokens"))
+    """key (bytes), n_tokens of one model version, each key once."""
+    own = read_cache(spark, cache).where(F.col("tokenizer") == version).select(F.unhex("key").alias("key"), "n_tokens")
+    return own.groupBy("key").agg(F.min("n_tokens").alias("n_tokens"))
 
 
 def _encode(texts: DataFrame, misses: DataFrame, model: bytes, version: str, cache: str) -> None:
@@ -168,10 +171,11 @@ def _encode(texts: DataFrame, misses: DataFrame, model: bytes, version: str, cac
         counter = _counter(shared.value)
         for batch in batches:
             own = batch.column(1).cast(pa.binary()).to_pylist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([version] * len(own), pa.string()), pa.array(counter.counts(own))], ["key", "tokenizer", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counter.counts(own))], ["key", "n_tokens"])
         trim()
 
     once = texts.join(misses.hint("shuffle_hash"), texts["doc_id"].eqNullSafe(misses["first"]) & (texts["key"] == misses["miss"]), "left_semi")
-    counted = once.select("key", "text").mapInArrow(run, CACHE)
-    # Rows that repeat a first id with its text were counted twice; a key is stored once.
-    counted.dropDuplicates(["key", "tokenizer"]).write.mode("append").parquet(cache)
+    # Rows that repeat a first id with its text are counted twice; a key is stored once.
+    counted = once.select("key", "text").mapInArrow(run, "key binary, n_tokens long").dropDuplicates(["key"])
+    rows = counted.select(F.lower(F.hex("key")).alias("key"), F.lit(version).alias("tokenizer"), "n_tokens")
+    rows.write.mode("append").parquet(cache)
