@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import terrarium
 
@@ -51,54 +52,63 @@ def encoded(merged: DataFrame, value: str = "elev") -> DataFrame:
     return merged.withColumns(terrarium.encode(value, "z"))
 
 
-def _pixels(column: pa.ChunkedArray) -> Iterator[np.ndarray]:
-    """A column's grids as float32, null as NaN."""
-    for chunk in column.chunks:
-        for v in chunk:
-            yield v.values.to_numpy(zero_copy_only=False).astype(np.float32)
+def unpacked(column: pa.Array | pa.ChunkedArray, kind: str) -> Iterator[np.ndarray]:
+    """A column's grids, from lists or packed as bytes; null elements of lists are NaN."""
+    packed = pa.types.is_binary(column.type)
+    for v in column:
+        yield np.frombuffer(v.as_buffer(), kind) if packed else v.values.to_numpy(zero_copy_only=False).astype(kind)
 
 
-def _one(group: pa.Table, px: np.ndarray, value: str, prov: np.ndarray | None = None) -> pa.Table:
+def _one(group: pa.Table, grids: dict[str, np.ndarray], value: str, packed: bool) -> pa.Table:
     """A tile's row; none if it has no value."""
-    grid = pa.ListArray.from_arrays(pa.array([0, len(px)], pa.int32()), pa.array(px, mask=np.isnan(px)))
-    columns = {c: group.column(c).slice(0, 1) for c in TILE} | {value: grid}
-    if prov is not None:
-        columns["prov"] = pa.ListArray.from_arrays(pa.array([0, len(prov)], pa.int32()), pa.array(prov))
-    out = pa.table(columns)
-    return out.slice(0, 0) if np.isnan(px).all() else out
 
+    def column(name: str, x: np.ndarray) -> pa.Array:
+        if packed:
+            return pa.array([x.tobytes()], pa.binary())
+        return pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x, mask=np.isnan(x) if name == value else None))
 
-def _kinds(grids: DataFrame) -> str:
-    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in grids.select(*TILE).schema.fields)
+    out = pa.table({c: group.column(c).slice(0, 1) for c in TILE} | {n: column(n, x) for n, x in grids.items()})
+    return out.slice(0, 0) if np.isnan(grids[value]).all() else out
+
+
+def _kinds(grids: DataFrame, value: str, *more: str) -> tuple[bool, str]:
+    """Whether grids are packed, and the result's columns."""
+    packed = isinstance(grids.schema[value].dataType, T.BinaryType)
+    told = [f"{f.name} {f.dataType.simpleString()}" for f in grids.select(*TILE).schema.fields]
+    return packed, ", ".join([*told, f"{value} {'binary' if packed else 'array<float>'}", *(f"{m} {'binary' if packed else 'array<smallint>'}" for m in more)])
 
 
 def merge_grids(grids: DataFrame, order: Sequence[str], value: str = "px", source: str = "prio") -> DataFrame:
     """Array form: (z, x, y, px, prio, ...) to (z, x, y, px, prov), tiles without any value left out.
 
     A tile's candidates meet in one task; they are as many as sources overlap it, not as many as there are tiles.
+    Grids are lists, or packed as the bytes of little-endian float32 with NaN for no data; then the sources are the
+    bytes of int16. Packed ones pass between Spark and Arrow as they are, lists element by element.
     """
+    packed, schema = _kinds(grids, value, "prov")
 
     def fold(group: pa.Table) -> pa.Table:
         group = group.sort_by([(c, "ascending") for c in order])
         px, prov = None, None
-        for grid, name in zip(_pixels(group.column(value)), group.column(source).to_pylist(), strict=True):
+        for grid, name in zip(unpacked(group.column(value), "<f4"), group.column(source).to_pylist(), strict=True):
             if px is None:
-                px, prov = np.full(len(grid), np.nan, np.float32), np.full(len(grid), -1, np.int16)
+                px, prov = np.full(len(grid), np.nan, "<f4"), np.full(len(grid), -1, "<i2")
             take = np.isnan(px) & ~np.isnan(grid)
             px[take], prov[take] = grid[take], name
-        return _one(group, px, value, prov)
+        return _one(group, {value: px, "prov": prov}, value, packed)
 
     rows = grids.select(*dict.fromkeys([*TILE, *order, source, value]))
-    return rows.groupBy(*TILE).applyInArrow(fold, f"{_kinds(grids)}, {value} array<float>, prov array<smallint>")
+    return rows.groupBy(*TILE).applyInArrow(fold, schema)
 
 
 def max_grids(grids: DataFrame, value: str = "px") -> DataFrame:
-    """Array form of ``max_merge``; tiles without any value are left out."""
+    """Array form of ``max_merge``, of lists or packed grids; tiles without any value are left out."""
+    packed, schema = _kinds(grids, value)
 
     def fold(group: pa.Table) -> pa.Table:
-        return _one(group, functools.reduce(np.fmax, _pixels(group.column(value))), value)
+        return _one(group, {value: functools.reduce(np.fmax, unpacked(group.column(value), "<f4"))}, value, packed)
 
-    return grids.select(*TILE, value).groupBy(*TILE).applyInArrow(fold, f"{_kinds(grids)}, {value} array<float>")
+    return grids.select(*TILE, value).groupBy(*TILE).applyInArrow(fold, schema)
 
 
 def tile_pixels(grids: DataFrame, width: int, value: str = "px") -> DataFrame:

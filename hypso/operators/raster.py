@@ -20,6 +20,7 @@ from ..functions.terrarium import PALETTE, extra_colour
 from ..functions.tilemath import HALF
 from ..schema import EARTH_CIRCUMFERENCE_M, TILE_SIZE
 from ..sources import codec, geotiff
+from .merge import unpacked
 
 
 def bilinear(band: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
@@ -89,8 +90,9 @@ def sample(source: geotiff.Raster, z: int, x: int, y: int, size: int = TILE_SIZE
     return bilinear(part, rows, cols) if rows.ndim == 1 else scattered(part, rows, cols)
 
 
-def read_tiles(pairs: DataFrame, size: int = TILE_SIZE) -> DataFrame:
-    """(z, x, y, path, ...) to the same rows with ``px``, the raster's values on the tile, null where it has none.
+def read_tiles(pairs: DataFrame, size: int = TILE_SIZE, packed: bool = False) -> DataFrame:
+    """(z, x, y, path, ...) to the same rows with ``px``, the raster's values on the tile, null where it has none; or
+    ``packed`` as bytes, see ``merge.merge_grids``.
 
     Pairs of rasters that can't be read, and grids without any value, are left out. A unit of work is a raster and a
     block of 16 x 16 tiles, so a huge raster is sampled by many tasks and a strip is decoded once for its block.
@@ -122,12 +124,12 @@ def read_tiles(pairs: DataFrame, size: int = TILE_SIZE) -> DataFrame:
                     continue
                 flat = grid.astype(np.float32).ravel()
                 one = batch.slice(k, 1)
-                px = pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), pa.array(flat, mask=np.isnan(flat)))
+                px = pa.array([flat.astype("<f4").tobytes()], pa.binary()) if packed else pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), pa.array(flat, mask=np.isnan(flat)))
                 yield pa.RecordBatch.from_arrays([*one.columns, px], [*one.schema.names, "px"])
         close()
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pairs.schema.fields)
-    return dealt.mapInArrow(run, f"{fields}, px array<float>")
+    return dealt.mapInArrow(run, f"{fields}, px {'binary' if packed else 'array<float>'}")
 
 
 def terrarium_rgb(px: np.ndarray, z: int) -> np.ndarray:
@@ -140,17 +142,13 @@ def terrarium_rgb(px: np.ndarray, z: int) -> np.ndarray:
     return np.stack([np.clip(p, 0, 255).astype(np.uint8) for p in parts], axis=-1)
 
 
-def _grids(column: pa.Array) -> list[np.ndarray]:
-    return [v.values.to_numpy(zero_copy_only=False) for v in column]
-
-
 def encode_tiles(grids: DataFrame, method: int | None = None, image: str | None = None) -> DataFrame:
     """(z, x, y, px) to (z, x, y, tile_data)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data = []
-            for z, px in zip(batch.column(0).to_pylist(), _grids(batch.column(3)), strict=True):
+            for z, px in zip(batch.column(0).to_pylist(), unpacked(batch.column(3), "<f4"), strict=True):
                 side = round(len(px) ** 0.5)
                 data.append(codec.encode(terrarium_rgb(px.astype(np.float64).reshape(side, side), z), method, image))
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(data, pa.binary())], ["z", "x", "y", "tile_data"])
@@ -158,8 +156,9 @@ def encode_tiles(grids: DataFrame, method: int | None = None, image: str | None
     return grids.select("z", "x", "y", "px").mapInArrow(run, "z int, x int, y int, tile_data binary")
 
 
-def decode_tiles(tiles: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(z, x, y, tile_data, ...) to (z, x, y, ..., px); payloads that can't be decoded give null."""
+def decode_tiles(tiles: DataFrame, keep: tuple[str, ...] = (), packed: bool = False) -> DataFrame:
+    """(z, x, y, tile_data, ...) to (z, x, y, ..., px), lists or packed; payloads that can't be decoded give null."""
+    kind, sql = (pa.binary(), "binary") if packed else (pa.list_(pa.float32()), "array<float>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,14 +166,16 @@ def decode_tiles(tiles: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
             for data in batch.column(batch.num_columns - 1).to_pylist():
                 try:
                     c = codec.decode(data).astype(np.float64)
-                    grids.append((c[:, :, 0] * 256 + c[:, :, 1] + c[:, :, 2] / 256 - 32768).astype(np.float32).ravel())
+                    grids.append((c[:, :, 0] * 256 + c[:, :, 1] + c[:, :, 2] / 256 - 32768).astype("<f4").ravel())
+                    if packed:
+                        grids[-1] = grids[-1].tobytes()
                 except Exception:  # a broken payload is no tile, whatever the codec raises
                     grids.append(None)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(grids, pa.list_(pa.float32()))], [*batch.schema.names[:-1], "px"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(grids, kind)], [*batch.schema.names[:-1], "px"])
 
     columns = ["z", "x", "y", *keep]
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in tiles.select(*columns).schema.fields)
-    return tiles.select(*columns, "tile_data").mapInArrow(run, f"{fields}, px array<float>")
+    return tiles.select(*columns, "tile_data").mapInArrow(run, f"{fields}, px {sql}")
 
 
 def lineage_tiles(merged: DataFrame, palette: dict[int, tuple[int, int, int]] | None = None, image: str | None = None) -> DataFrame:
@@ -186,7 +187,7 @@ def lineage_tiles(merged: DataFrame, palette: dict[int, tuple[int, int, int]] |
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data = [codec.encode(lineage_image(prov, colour), image=image) for prov in _grids(batch.column(3))]
+            data = [codec.encode(lineage_image(prov, colour), image=image) for prov in unpacked(batch.column(3), "<i2")]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(data, pa.binary())], ["z", "x", "y", "tile_data"])
 
     return merged.select("z", "x", "y", "prov").mapInArrow(run, "z int, x int, y int, tile_data binary")

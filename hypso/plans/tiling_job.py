@@ -38,8 +38,8 @@ def check_zooms(low: int, high: int) -> None:
         raise ValueError(f"zooms {low} to {high} are not within 0 to {MAX_ZOOM}")
 
 
-def merged_tiles(records: DataFrame, low: int, high: int | None = None, bbox: Box = WORLD, size: int = TILE_SIZE, tiles: DataFrame | None = None) -> DataFrame:
-    """(z, x, y, px, prov): each tile's merged elevations and the source of every pixel.
+def merged_tiles(records: DataFrame, low: int, high: int | None = None, bbox: Box = WORLD, size: int = TILE_SIZE, tiles: DataFrame | None = None, packed: bool = False) -> DataFrame:
+    """(z, x, y, px, prov): each tile's merged elevations and the source of every pixel, as lists or ``packed`` as bytes.
 
     Of overlapping rasters, the lower priority number wins a pixel, then the finer pixel, then the catalogue's order;
     no-data pixels are filled from the next. Tiles without any value don't appear.
@@ -51,7 +51,7 @@ def merged_tiles(records: DataFrame, low: int, high: int | None = None, bbox: Bo
         tiles = tiling.tile_cover(spark, tiling.clipped_extent(records, bbox), low, high)
     pairs = tiling.overlap_join(tiles, records.select("left", "bottom", "right", "top", "path", "pixel_size", "priority", "filename"))
     pairs = pairs.select("z", "x", "y", "path", "priority", "pixel_size", "filename")
-    grids = raster.read_tiles(pairs, size)
+    grids = raster.read_tiles(pairs, size, packed)
     return merge.merge_grids(grids.withColumnRenamed("priority", "prio"), ["prio", "pixel_size", "filename"])
 
 
@@ -143,7 +143,7 @@ def merge_stage(records: DataFrame, stage: str, low: int, high: int, box: Box, s
         return {"checked": 0, "emitted": 0}
     checked, emitted = Observation(), Observation()
     tiles = tiling.tile_cover(spark, box, low, high).where(F.col("z").isin(lacking)).observe(checked, F.count("*").alias("n"))
-    merged = merged_tiles(records, low, high, box, size, tiles).observe(emitted, F.count("*").alias("n"))
+    merged = merged_tiles(records, low, high, box, size, tiles, packed=True).observe(emitted, F.count("*").alias("n"))
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("z").parquet(stage)
     for z in lacking:
         folders.mark(spark, f"{stage}/z={z}/_DONE")
@@ -151,7 +151,7 @@ def merge_stage(records: DataFrame, stage: str, low: int, high: int, box: Box, s
 
 
 def staged(spark: SparkSession, stage: str, low: int, high: int) -> DataFrame:
-    rows = spark.read.schema("x int, y int, px array<float>, prov array<smallint>, z int").parquet(stage)
+    rows = spark.read.schema("x int, y int, px binary, prov binary, z int").parquet(stage)
     return rows.where(F.col("z").between(low, high))
 
 
@@ -337,9 +337,9 @@ def merge_pixelwise(spark: SparkSession, inputs: Sequence[str], mode: str = "pri
         rows = spark.read.format("mbtiles").load(p).withColumn("src_idx", F.lit(i))
         every = rows if every is None else every.unionByName(rows)
     if mode == "priority" and not fall_through:
-        grids = raster.decode_tiles(merge.tile_priority(every, empty_is_missing=False), ("src_idx",)).where("px IS NOT NULL")
+        grids = raster.decode_tiles(merge.tile_priority(every, empty_is_missing=False), ("src_idx",), packed=True).where("px IS NOT NULL")
     else:
-        grids = raster.decode_tiles(every, ("src_idx",)).where("px IS NOT NULL")
+        grids = raster.decode_tiles(every, ("src_idx",), packed=True).where("px IS NOT NULL")
         if mode == "priority":
             best = F.min_by("px", "src_idx")
             grids = grids.groupBy("z", "x", "y").agg(best.alias("px"))
@@ -359,7 +359,7 @@ def convert(spark: SparkSession, raster_path: str, target: str, low: int = 0, hi
     if os.path.exists(plain_path(target)) and not overwrite:
         raise FileExistsError(target)
     told = {"name": os.path.splitext(name)[0], "format": codec.image_format(), "encoding": "terrarium", "attribution": ATTRIBUTION}
-    write_pmtiles(raster.encode_tiles(merged_tiles(records, low, high, size=size)), target, told)
+    write_pmtiles(raster.encode_tiles(merged_tiles(records, low, high, size=size, packed=True)), target, told)
 
 
 def merge_pixelwise_to(spark: SparkSession, inputs: Sequence[str], target: str, mode: str = "priority", fall_through: bool = False, overwrite: bool = False) -> None:
