@@ -215,17 +215,19 @@ def plan(counts: dict[int, int], size: int = SIZE) -> tuple[dict[int, np.ndarray
 
 
 def pack(pieces: DataFrame, size: int = SIZE, each: int = EACH) -> DataFrame:
-    """``pieces`` (a checkpoint or table, read three times) with sequence_id and offset.
+    """``pieces``, which are read once and checkpointed, with sequence_id and offset.
 
     Ranks inside a length come from counts by (length, bucket): a length has a bucket for every ``each`` pieces, so a
     length that very many pieces share is ranked by as many tasks as it needs, and at most ``size`` counts plus one for
-    every ``each`` pieces reach the driver. Buckets are dealt by row, so repeated rows don't crowd one.
+    every ``each`` pieces reach the driver. Buckets are dealt by a row's own salt, so repeated rows don't crowd one; it is
+    part of the checkpoint, as a row that changed its bucket between the counts and the ranks would tear the plan.
     """
     spark = pieces.sparkSession
+    pieces = cut(pieces.withColumn("_salt", F.xxhash64("doc_id", "piece", F.monotonically_increasing_id())))
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     buckets = {w: -(-n // each) for w, n in counts.items() if n > each}
     many = F.create_map(*(F.lit(x) for pair in buckets.items() for x in pair))[F.col("length")] if buckets else F.lit(None).cast("int")
-    salted = pieces.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece", F.monotonically_increasing_id()), F.coalesce(many, F.lit(1))).cast("int"))
+    salted = pieces.withColumn("_bucket", F.pmod("_salt", F.coalesce(many, F.lit(1))).cast("int"))
     first, before = [], defaultdict(int)
     for w, bucket, n in sorted((r["length"], r["_bucket"], r["count"]) for r in salted.groupBy("length", "_bucket").count().collect()):
         first.append((w, bucket, before[w]))
@@ -258,4 +260,4 @@ def pack_documents(docs: DataFrame, spec: bytes, size: int = SIZE) -> DataFrame:
     Null texts count as empty: one piece that holds END alone. Null ids are kept; repeated rows are packed each.
     A very long text gives as many full pieces as needed. An empty table gives no rows; other columns play no part.
     """
-    return pack(cut(tokenized(docs, spec, size)), size)
+    return pack(tokenized(docs, spec, size), size)
