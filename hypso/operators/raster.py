@@ -95,9 +95,9 @@ def read_tiles(pairs: DataFrame, size: int = TILE_SIZE, packed: bool = False) ->
     ``packed`` as bytes, see ``merge.merge_grids``.
 
     Pairs of rasters that can't be read, and grids without any value, are left out. A unit of work is a raster and a
-    block of 16 x 16 tiles, so a huge raster is sampled by many tasks and a strip is decoded once for its block.
+    block of 8 x 8 tiles, so a huge raster is sampled by many tasks and a strip is decoded once for its block.
     """
-    block = [F.call_function("shiftright", F.col(c), F.lit(4)) for c in ("x", "y")]
+    block = [F.call_function("shiftright", F.col(c), F.lit(3)) for c in ("x", "y")]
     dealt = pairs.repartition("path", "z", *block).sortWithinPartitions("path", "z", *block, "y", "x")
     names = pairs.columns
 
